@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: At most this many keys are broadcast by join_unique; a key counts as hot from one part in HOT_KEYS of all rows.
@@ -83,6 +83,21 @@ def join_unique(rows: DataFrame, table: DataFrame, key: str, count: str) -> Data
     return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
 
 
+def join_hot_left(rows: DataFrame, table: DataFrame, key: str, count: str, spread: Column) -> DataFrame:
+    """Left join of rows with table in one pass over rows; table as for join_unique, without rows for keys that have none.
+
+    Hot keys are broadcast; rows that found theirs go on through the shuffle spread by `spread`, so no task gets a hot key.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    least = max(64, -(-total // HOT_KEYS))
+    values = [c for c in table.columns if c not in (key, count)]
+    hot = table.filter(F.col(count) >= least).select(key, F.struct(*values).alias("__hot"))
+    cold = table.filter(F.col(count) < least).select(key, F.lit(0).alias("__salt"), F.struct(*values).alias("__cold"))
+    first = rows.join(F.broadcast(hot), key, "left").withColumn("__salt", F.when(F.col("__hot").isNull(), 0).otherwise(F.pmod(spread, F.lit(1 << 20)).cast("int") + 1))
+    second = first.join(cold, [key, "__salt"], "left")
+    return second.select(*rows.columns, *[F.coalesce(F.col(f"__hot.{v}"), F.col(f"__cold.{v}")).alias(v) for v in values])
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     arrow_bounds(df.sparkSession)
     return df.mapInArrow(function, schema)

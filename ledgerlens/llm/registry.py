@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, canonical, exact_dedup, language, simhash
+from . import bpe, canonical, exact_dedup, language, sharding, simhash, warc
 
 QUERIES = {
+    "op1_sharding": sharding.op1_sharding,
+    "op3_warc": warc.op3_warc,
     "op4_canonical": canonical.op4_canonical,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op7_simhash": simhash.op7_simhash,
     "op9_language": language.op9_language,
     "op10_bpe": bpe.op10_bpe,
 }
-ORACLES = {"op5_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLES = {"op3_warc": warc.ORACLE_SQL, "op5_exact_dedup": exact_dedup.ORACLE_SQL}
