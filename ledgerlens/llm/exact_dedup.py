@@ -88,6 +88,50 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
+def _fold_rows(batches: Iterator[pa.RecordBatch], id_at: int, text_at: int) -> Iterator[pa.RecordBatch]:
+    """Of each partition's rows the best of each text, within FOLD_BYTES, with the order of the sort in three columns more."""
+    best, pending, held = {}, [], 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        rows: dict[int, list[tuple[int, bytes]]] = {}
+        for norm, (_, k, row) in best.items():
+            rows.setdefault(k, []).append((row, norm))
+        for k, chosen in rows.items():
+            part = pending[k].take(pa.array([row for row, _ in chosen]))
+            keys = [pa.array(c, t) for c, t in ((
+                [norm[:LEADING_BYTES] for _, norm in chosen], pa.binary()), ([len(norm) for _, norm in chosen], pa.int64()), ([xxhash.xxh64_intdigest(norm) - (1 << 63) for _, norm in chosen], pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *keys], names=[*part.schema.names, "__lead", "__size", "__hash"])
+
+    for batch in batches:
+        pending.append(batch)
+        for row, (doc, text) in enumerate(zip(batch.column(id_at).to_pylist(), batch.column(text_at).to_pylist(), strict=True)):
+            norm = text.encode().lower() if text else b""
+            rank = (doc is not None, doc or 0)
+            if norm not in best:
+                held += 2 * len(norm) + 200
+            if norm not in best or best[norm][0] < rank:
+                best[norm] = (rank, len(pending) - 1, row)
+        held += batch.nbytes
+        if held > 2 * FOLD_BYTES:
+            yield from flush()
+            best, pending, held = {}, [], 0
+    yield from flush()
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that exact_duplicates keeps, with all their columns. Texts go through one shuffle, copies don't."""
+    from pyspark.sql import types as T
+
+    id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField("__lead", T.BinaryType()), T.StructField("__size", T.LongType()), T.StructField("__hash", T.LongType())])
+    order = ("__lead", "__size", "__hash")
+    reps = map_arrow(docs, lambda batches: _fold_rows(batches, id_at, text_at), schema).repartitionByRange(*order)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    reps = reps.withColumn("__norm", F.translate(F.coalesce(text_col, F.lit("")), upper, upper.lower()))
+    equal = Window.partitionBy(*order, "__norm").orderBy(F.col(id_col).desc_nulls_last())
+    return reps.withColumn("__place", F.row_number().over(equal)).filter("__place = 1").select(*docs.columns)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 

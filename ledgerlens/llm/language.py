@@ -233,6 +233,22 @@ def identify(docs: DataFrame, trees: ContextTrees, id_col: str = "doc_id", text_
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), run, "doc_id long, lang_pred string, score double, bits_per_byte double")
 
 
+def label(docs: DataFrame, trees: ContextTrees, most_bits: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """docs with the predicted language in lang_col; `und` rows and those coded with most_bits a byte or more go."""
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    text, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = shared.value.predict(batch.column(text).to_pylist())
+                new = pa.array([f[0] for f in found], pa.string())
+                kept = pa.array([f[0] != UNKNOWN and f[2] < most_bits for f in found])
+                yield pa.RecordBatch.from_arrays([new if k == lang else c for k, c in enumerate(batch.columns)], names=batch.schema.names).filter(kept)
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return identify(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
