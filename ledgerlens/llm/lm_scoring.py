@@ -9,7 +9,7 @@ The network first takes a bounded warm-up on WARM_TOKENS tokens of training docu
 trains over all of its training documents from there, with truncated backpropagation, and the weights are averaged by tokens:
 blocks of weights are summed by key on the executors, and only the mean reaches the driver. Its size is fixed.
 
-Words outside the HEAD most frequent ones meet their counts in a shuffled join, one row per document and word; a word's rows
+Words outside the HEAD most frequent ones (cut where a frequency step ends) meet their counts in a shuffled join, one row per document and word; a word's rows
 there are few since HEAD words are more frequent.
 
 Defined results: a null text counts as empty and has one token, the end; a null id counts as the id text ''; repeated rows are
@@ -22,6 +22,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import columns, map_arrow, read_table, record_batch, staged
 from .recurrent import LANES, Adam, GatedModel, Lanes
 
-CORE, CLASS_SLOTS, SUFFIX_CLASSES, HEAD = 1023, 32, 64, 200_000
-HIDDEN, WARM_TOKENS, WARM_PASSES, WARM_RATE, RATE = 16, 400_000, 4, 0.02, 0.002
+CORE, CLASS_SLOTS, SUFFIX_CLASSES, HEAD = 1023, 32, 32, 200_000
+HIDDEN, WARM_TOKENS, WARM_PASSES, WARM_RATE, RATE = 12, 400_000, 4, 0.02, 0.002
+#: In the pass over all documents the loss is taken at every LOSS_STRIDE-th token; gradients and states go through all.
+LOSS_STRIDE = 4
 #: Tokens of one block of documents in lanes, words counted before they are handed on, and weights in one block of the average.
 BLOCK_TOKENS, COUNTED_WORDS, WEIGHTS_PER_BLOCK = 3_000_000, 300_000, 4096
 END, START = 0, CORE + 1 + SUFFIX_CLASSES
@@ -101,22 +104,34 @@ class Vocabulary:
         return np.where(rare, len(self.sizes) + symbols - CORE - 1, symbols // CLASS_SLOTS), np.where(rare, -1, symbols % CLASS_SLOTS)
 
 
-class _Symbols(dict):
+class Encoder:
+    """Turns words into numbers: those of the head by rank, all others -1, with one look-up a word."""
+
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
+        self.rank = {w: k for k, w in enumerate(vocabulary.known)}
+        counts = np.fromiter(vocabulary.known.values(), np.float64, len(vocabulary.known))
+        self.logs = np.log10(np.append(counts, 0) + 1)
+        self.symbols = np.array([*[vocabulary.symbol(w) for w in vocabulary.known], -1], np.int32)
+
+    def ranks(self, words: list[bytes]) -> np.ndarray:
+        return np.array([*map(self.rank.get, words, repeat(-1))], np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        n = self.vocabulary.symbol(word)
-        if len(self) < 500_000:
-            self[word] = n
-        return n
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols with the end, and ranks."""
+        ranks = self.ranks(words)
+        symbols = np.append(self.symbols[ranks], np.int32(END))
+        for k in np.flatnonzero(ranks < 0).tolist():
+            symbols[k] = CORE + 1 + suffix_class(words[k])
+        return symbols, ranks
 
 
-def train(model: GatedModel, vocabulary: Vocabulary, docs: list[np.ndarray], adam: Adam, lanes: int = LANES) -> None:
-    """One pass of truncated backpropagation over whole documents."""
+def train(model: GatedModel, vocabulary: Vocabulary, docs: list[np.ndarray], adam: Adam, lanes: int = LANES, stride: int = 1) -> None:
+    """One pass of truncated backpropagation over whole documents. With stride s the loss is taken at every s-th token."""
     block = Lanes(docs, START, lanes)
     h = np.zeros((len(block.lengths), model.hidden), np.float32)
-    for x, y, fresh, _, live in block.windows():
+    for k, (x, y, fresh, _, live) in enumerate(block.windows()):
+        if stride > 1:
+            live = live & (np.add.outer(np.arange(len(x)), np.arange(x.shape[1])) % stride == k % stride)
         grads, h, _ = model.gradients(x, fresh, live, *vocabulary.targets(y), h[: x.shape[1]])
         adam.step(grads)
 
@@ -134,11 +149,11 @@ def score(model: GatedModel, vocabulary: Vocabulary, docs: list[np.ndarray]) ->
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], symbols: _Symbols) -> Iterator[list[np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[list[np.ndarray]]:
     docs, held = [], 0
     for (texts,) in columns(batches, "text"):
         for text in texts.to_pylist():
-            docs.append(np.array([*[symbols[w] for w in words_of(text)], END], np.int32))
+            docs.append(encoder.encode(words_of(text))[0])
             held += len(docs[-1])
             if held > BLOCK_TOKENS:
                 yield docs
@@ -152,7 +167,13 @@ def counted(texts: DataFrame) -> tuple[DataFrame, Vocabulary]:
     counts = staged(map_arrow(texts, _count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
     documents = texts.count()
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    head = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()]
+    step = F.floor(F.log2("n") * 64)
+    least, held = 1 << 30, 0
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("v")).orderBy(F.desc("step")).collect():  # some thousand rows
+        if (held := held + r["v"]) > HEAD:
+            break
+        least = r["step"]
+    head = sorted(((bytes(r["word"]), r["n"]) for r in counts.filter(step >= least).collect()), key=lambda r: (-r[1], r[0]))
     own = F.crc32(F.substring("word", -2, 2)) % SUFFIX_CLASSES
     tail = {r["k"]: [r["n"], r["v"]] for r in counts.groupBy(own.alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     for word, n in head[:CORE]:
@@ -166,8 +187,8 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> GatedModel:
     spark = texts.sparkSession
     model = vocabulary.model()
     share = min(1.0, WARM_TOKENS / max(1, vocabulary.tokens))
-    symbols = _Symbols(vocabulary)
-    warm = [np.array([*[symbols[w] for w in words_of(r["text"])], END], np.int32) for r in texts.filter(F.col("draw") < share).select("text").toLocalIterator()]
+    encoder = Encoder(vocabulary)
+    warm = [encoder.encode(words_of(r["text"]))[0] for r in texts.filter(F.col("draw") < share).select("text").toLocalIterator()]
     warm = warm[: int(np.searchsorted(np.cumsum([len(d) for d in warm]), 4 * WARM_TOKENS)) + 1]  # at any rate
     if warm:
         adam = Adam(model, WARM_RATE)
@@ -182,8 +203,8 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> GatedModel:
         own = words.model()
         own.load(start.flat())
         adam, tokens = Adam(own, RATE), 0
-        for docs in _blocks(batches, _Symbols(words)):
-            train(own, words, docs, adam)
+        for docs in _blocks(batches, Encoder(words)):
+            train(own, words, docs, adam, stride=LOSS_STRIDE)
             tokens += sum(map(len, docs))
         if tokens:
             flat = own.flat()
@@ -217,10 +238,9 @@ def scored(docs: DataFrame, vocabulary: Vocabulary, model: GatedModel) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, net = shared.value
-        symbols = _Symbols(v)
-        logs = {w: math.log10(n + 1) for w, n in v.known.items()}
+        encoder = Encoder(v)
         rows, arrays, held, rid = [], [], 0, TaskContext.get().partitionId() << 36
-        rare_from, size = CORE + 1, v.log_size
+        core, rare_from, size = len(v.core), CORE + 1, v.log_size
 
         def flush() -> Iterator[pa.RecordBatch]:
             if not rows:
@@ -233,26 +253,15 @@ def scored(docs: DataFrame, vocabulary: Vocabulary, model: GatedModel) -> DataFr
         for ids, outs, texts in columns(batches, "id", "held_out", "text"):
             for i, out, text in zip(ids.to_pylist(), outs.to_pylist(), texts.to_pylist(), strict=True):
                 words = words_of(text)
-                ids_of = np.array([*[symbols[w] for w in words], END], np.int32)
-                each = Counter(words)
-                base = within = 0.0
-                known, tail, times = 0, [], []
-                for w, k in each.items():
-                    log = logs.get(w)
-                    if log is None:
-                        tail.append(w)
-                        times.append(k)
-                        continue
-                    known += k
-                    base += k * log
-                    if w not in v.core:
-                        within += k * log
-                rare = ids_of[ids_of >= rare_from] - rare_from
-                within -= float(size[rare].sum())
-                n = len(ids_of)
-                rows.append((rid, i, out, n, known + (v.documents > 0), base + v.base_end - n * v.base_size, within, tail, times))
+                symbols, ranks = encoder.encode(words)
+                tail = Counter([words[k] for k in np.flatnonzero(ranks < 0).tolist()])
+                logs, n = encoder.logs[ranks], len(symbols)
+                rare = symbols[symbols >= rare_from] - rare_from
+                within = float(logs[ranks >= core].sum()) - float(size[rare].sum())
+                known = n - 1 - sum(tail.values()) + (v.documents > 0)
+                rows.append((rid, i, out, n, known, float(logs.sum()) + v.base_end - n * v.base_size, within, list(tail), list(tail.values())))
                 rid += 1
-                arrays.append(ids_of)
+                arrays.append(symbols)
                 held += n
                 if held > BLOCK_TOKENS:
                     yield from flush()

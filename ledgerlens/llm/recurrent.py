@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 
 LANES, WINDOW = 384, 24
+#: Rows of logits worked on at once, so that they stay in the cache.
+_ROWS = 1024
 
 
 def _gate(y: np.ndarray) -> None:
@@ -88,8 +90,11 @@ class GatedModel:
     def log_probabilities(self, states: np.ndarray, classes: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """Natural log of each target's class and, in classes with slots, of its slot (slot -1: none)."""
         w = self.weights
-        logits, _, sums = _scores(states, w["to_class"], w["class_bias"])
-        out = (logits[np.arange(len(classes)), classes] - np.log(sums)).astype(np.float64)
+        out = np.empty(len(classes))
+        for at in range(0, len(classes), _ROWS):
+            part = slice(at, at + _ROWS)
+            logits, _, sums = _scores(states[part], w["to_class"], w["class_bias"])
+            out[part] = logits[np.arange(len(sums)), classes[part]] - np.log(sums)
         for k, rows in _by_class(classes, slots):
             logits, _, sums = _scores(states[rows], w["to_slot"][k], w["slot_bias"][k], self.unused[k])
             out[rows] += logits[np.arange(len(rows)), slots[rows]] - np.log(sums)
@@ -112,9 +117,13 @@ class GatedModel:
             d[every, target] -= scale
             return d, loss
 
-        d, loss = output(s, w["to_class"], w["class_bias"], None, c)
-        grads["to_class"], grads["class_bias"] = s.T @ d, d.sum(axis=0)
-        ds = d @ w["to_class"].T
+        loss, ds = 0.0, np.empty_like(s)
+        for part in (slice(k, k + _ROWS) for k in range(0, len(c), _ROWS)):
+            d, more = output(s[part], w["to_class"], w["class_bias"], None, c[part])
+            loss += more
+            grads["to_class"] += s[part].T @ d
+            grads["class_bias"] += d.sum(axis=0)
+            np.matmul(d, w["to_class"].T, out=ds[part])
         for k, rows in _by_class(c, j):
             d, more = output(s[rows], w["to_slot"][k], w["slot_bias"][k], self.unused[k], j[rows])
             loss += more
@@ -125,25 +134,24 @@ class GatedModel:
         dstates = dstates.reshape(*x.shape, n)
         gates = kept.pop()
         dh = np.zeros_like(h)
-        back, through = w["recur"].T.copy(), np.empty((h.shape[0], 3 * n), states.dtype)
+        before, uc = np.stack([k[0] for k in kept]), np.stack([k[1] for k in kept])
+        z, r, cand = gates[..., :n], gates[..., n : 2 * n], gates[..., 2 * n :]
+        # what one unit of a state's gradient is at the inputs; a gate falls by gate * (1 - gate) as its input rises
+        of_cand = (1 - z) * (1 - cand * cand)
+        of_gates = np.concatenate((z * (z - 1) * (before - cand), of_cand * uc * r * (r - 1), of_cand * r), axis=2)
+        through = np.empty_like(of_gates)
+        back, resets = w["recur"].T.copy(), fresh.any(axis=1)
         for t in range(len(x) - 1, -1, -1):
-            before, uc = kept[t]
-            g = gates[t]
-            zr, cand = g[:, : 2 * n], g[:, 2 * n :]
-            z, r = zr[:, :n], zr[:, n:]
             dh += dstates[t]
-            dz = dh * z
-            dc = (dh - dz) * (1 - cand * cand)
-            # a gate falls by gate * (1 - gate) as its input rises
-            through[:, :n] = dz * (z - 1) * (before - cand)
-            through[:, n : 2 * n] = dc * uc * r * (r - 1)
-            through[:, 2 * n :] = dc * r
-            grads["recur"] += before.T @ through
-            dh = through @ back
-            dh += dz
-            if fresh[t].any():
+            dstates[t] = dh
+            np.multiply(of_gates[t].reshape(-1, 3, n), dh[:, None, :], out=through[t].reshape(-1, 3, n))
+            dh *= z[t]
+            dh += through[t] @ back
+            if resets[t]:
                 dh *= ~fresh[t][:, None]
-            g[:, : 2 * n], g[:, 2 * n :] = through[:, : 2 * n], dc  # the gradients take the gates' place
+        grads["recur"] += before.reshape(-1, n).T @ through.reshape(-1, 3 * n)
+        gates[..., : 2 * n] = through[..., : 2 * n]
+        gates[..., 2 * n :] = dstates * of_cand
         flat = gates.reshape(-1, 3 * n)
         order = np.argsort(x.ravel(), kind="stable")
         ids = x.ravel()[order]
