@@ -6,7 +6,7 @@ import unicodedata
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.patterns import LINES, any_of, matches
 from ..rules import filings as R
@@ -54,13 +54,13 @@ def normalize_space(text: Column) -> Column:
     return F.btrim(F.regexp_replace(out, r"\n{3,}", "\n\n"), F.lit(" \n"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Compatibility form; Spark SQL has no such function."""
     return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decode_text(content: pd.Series) -> pd.Series:
     """UTF-8, with or without mark, else code page 1252, else Latin-1."""
 
@@ -85,9 +85,9 @@ def is_junk_line(line: Column) -> Column:
 def rebuild_paragraphs(text: Column) -> Column:
     """Lines joined to paragraphs; a blank line, a heading or an end of sentence closes one; junk lines go; headings in capitals."""
     heading = lambda s: s.rlike(r"(?i)^(part\s+[ivx]+|item\s+\d+[a-z]?)\b")
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: ~is_junk_line(s))
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: ~is_junk_line(s))
     marked = F.transform(lines, lambda s: F.when(s == "", F.lit("\x02")).when(heading(s), F.concat(F.lit("\x02"), F.upper(s), F.lit("\x02"))).when(s.rlike(r"[.!?:;]$"), F.concat(s, F.lit("\x02"))).otherwise(s))
-    parts = F.filter(F.transform(F.split(F.array_join(marked, " "), "\x02"), F.trim), lambda s: s != "")
+    parts = F.filter(F.transform(F.split(F.array_join(marked, " "), "\x02"), lambda s: F.trim(s)), lambda s: s != "")
     return F.array_join(parts, "\n\n")
 
 

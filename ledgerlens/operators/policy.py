@@ -42,7 +42,7 @@ def label(mention: Column, source: Column, keep: Sequence[str] = R.KEEP, drop: S
 
 
 def split_list(c: Column, sep: str = R.SEPARATOR) -> Column:
-    parts = F.transform(F.split(F.coalesce(c, F.lit("")), sep, -1), F.trim)
+    parts = F.transform(F.split(F.coalesce(c, F.lit("")), sep, -1), lambda s: F.trim(s))
     return F.filter(parts, lambda x: x != "")
 
 
