@@ -17,6 +17,15 @@ def matches(text: Column, patterns: Sequence[str], flags: str = ANY_CASE) -> Col
     return F.coalesce(text.rlike(flags + any_of(patterns)), F.lit(False))
 
 
+def has_word(text: Column, words: Sequence[str]) -> Column:
+    """Whether the lower-cased text holds one of the (lower-case) words."""
+    low, out = F.lower(text), None
+    for w in words:
+        hit = F.contains(low, F.lit(w))
+        out = hit if out is None else out | hit
+    return out
+
+
 def first_match(text: Column, patterns: Sequence[str], flags: str = ANY_CASE) -> Column:
     """What the first pattern of the list that matches anywhere matched, else null."""
     return F.coalesce(*[F.nullif(F.regexp_extract(text, flags + p, 0), F.lit("")) for p in patterns])

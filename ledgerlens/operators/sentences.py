@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.patterns import ANY_CASE, LINES, any_of, first_match, first_reason, matches
+from ..functions.patterns import LINES, any_of, first_match, first_reason, has_word, matches
 from ..rules import cues as R
 
 _MARK = "\x01"
@@ -41,9 +41,9 @@ def sentences(filings: DataFrame) -> DataFrame:
 
 
 def with_cues(rows: DataFrame) -> DataFrame:
-    """Adds demotion_reason, cue_group, cue_text, cue_tier. One combined test keeps most sentences from the single patterns."""
+    """Adds demotion_reason, cue_group, cue_text, cue_tier. Plain words and one combined test keep most sentences from the single patterns."""
     s = F.col("sentence")
-    cue = matches(s, (*R.STRICT, *R.CONTEXTUAL, *R.IMPLICIT))
+    cue = has_word(s, R.CUE_WORDS) & matches(s, (*R.STRICT, *R.CONTEXTUAL, *R.IMPLICIT))
     rows = rows.withColumn("demotion_reason", F.when(cue, first_reason(s, R.DEMOTIONS)))
     reason = F.col("demotion_reason")
     suppressed = F.coalesce(reason != R.GENERIC_ADVANTAGE, F.lit(False))
@@ -60,7 +60,7 @@ def with_headings(rows: DataFrame) -> DataFrame:
     doc = Window.partitionBy("doc_id").orderBy("idx")
     back = doc.rowsBetween(-R.LOOKBACK, 0)
     s = F.col("sentence")
-    rows = rows.withColumn("is_heading", is_heading(s)).withColumn("is_competition", matches(s, R.HEADINGS[0][1], LINES))
+    rows = rows.withColumn("is_heading", is_heading(s)).withColumn("is_competition", has_word(s, R.CUE_WORDS[:1]) & matches(s, R.HEADINGS[0][1], LINES))
     near = F.last(F.when(F.col("is_heading"), F.struct(s.alias("text"), heading_category(s).alias("category"))), ignorenulls=True).over(back)
     return rows.select(
         "*",

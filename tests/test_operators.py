@@ -47,6 +47,12 @@ def test_sentences(spark):
         assert one(spark, sentence_array(F.col("t")), t=text) == plain_sentences(text), text
 
 
+def test_every_cue_needs_a_word():
+    for p in (*cues.STRICT, *cues.CONTEXTUAL, *cues.IMPLICIT):
+        assert any(w in p for w in cues.CUE_WORDS), p
+    assert all("compet" in p for p in cues.HEADINGS[0][1])
+
+
 def test_heading_lines(spark):
     for text, want in (("COMPETITION", True), ("Our Market", True), ("This is a sentence.", False), ("x" * 121, False), ("Is it?", True), ("word a.Bc", False), ("A long heading that goes on and on beyond the eighty characters which are allowed here:", True)):
         assert one(spark, is_heading(F.col("t")), t=text) is want, text
