@@ -35,9 +35,14 @@ def heading_category(s: Column) -> Column:
 
 
 def sentences(filings: DataFrame) -> DataFrame:
-    """doc_id, idx, sentence, n_sentences and all (the document's sentences), one row per sentence."""
-    split = filings.select("doc_id", sentence_array(F.col("text")).alias("all"))
-    return split.select("doc_id", F.posexplode("all").alias("idx", "sentence"), "all")
+    """doc_id, n_sentences, idx and sentence, one row per sentence.
+
+    Documents are dealt by id before they are split: all windows over a document's sentences then do without another shuffle,
+    and a table in few large row groups is worked on by all cores.
+    """
+    parts = int(filings.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that it isn't coalesced: the work is in the patterns
+    split = filings.select("doc_id", "text").repartition(parts, "doc_id").select("doc_id", sentence_array(F.col("text")).alias("all"))
+    return split.select("doc_id", F.size("all").alias("n_sentences"), F.posexplode("all").alias("idx", "sentence"))
 
 
 def with_cues(rows: DataFrame) -> DataFrame:
@@ -56,7 +61,7 @@ def with_cues(rows: DataFrame) -> DataFrame:
 
 
 def with_headings(rows: DataFrame) -> DataFrame:
-    """Adds is_heading, is_competition (a competition heading pattern, heading line or not), nearest heading and block."""
+    """Adds is_heading, is_competition (a competition heading pattern, heading line or not), nearest heading, block and the sentences around."""
     doc = Window.partitionBy("doc_id").orderBy("idx")
     back = doc.rowsBetween(-R.LOOKBACK, 0)
     s = F.col("sentence")
@@ -67,5 +72,6 @@ def with_headings(rows: DataFrame) -> DataFrame:
         near.alias("__near"),
         F.max("is_competition").over(back).alias("under_competition"),
         (F.coalesce(F.max("is_strict").over(doc.rowsBetween(-R.NEARBY, -1)), F.lit(False)) | F.coalesce(F.max("is_strict").over(doc.rowsBetween(1, R.NEARBY)), F.lit(False))).alias("strict_nearby"),
+        F.collect_list("sentence").over(doc.rowsBetween(-R.REACH, R.REACH)).alias("around"),
         F.sum(F.col("is_heading").cast("int")).over(doc.rowsBetween(Window.unboundedPreceding, 0)).alias("block"),
     ).select("*", F.coalesce("__near.text", F.lit("")).alias("heading_text"), F.coalesce("__near.category", F.lit("no_heading")).alias("heading_category")).drop("__near")

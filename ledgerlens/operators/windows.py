@@ -30,8 +30,8 @@ def cue_windows(rows: DataFrame) -> DataFrame:
     near = under | F.col("strict_nearby")
     reach = F.when(group == "strict_explicit", F.when(under, 1).otherwise(0)).when(group == "contextual_explicit", F.when(near, 2).otherwise(1)).otherwise(0)
     priority = F.when(group == "strict_explicit", F.when(under, 5).otherwise(4)).when(group == "contextual_explicit", F.when(near, 3).otherwise(2)).otherwise(1)
-    rows = rows.filter(group.isNotNull()).withColumn("start_idx", F.greatest(F.lit(0), F.col("idx") - reach)).withColumn("end_idx", F.least(F.size("all") - 1, F.col("idx") + reach))
-    rows = rows.withColumn("window_text", F.array_join(F.slice("all", F.col("start_idx") + 1, F.col("end_idx") - F.col("start_idx") + 1), " "))
+    rows = rows.filter(group.isNotNull()).withColumn("start_idx", F.greatest(F.lit(0), F.col("idx") - reach)).withColumn("end_idx", F.least(F.col("n_sentences") - 1, F.col("idx") + reach))
+    rows = rows.withColumn("window_text", F.array_join(F.slice("around", F.col("start_idx") - F.greatest(F.lit(0), F.col("idx") - R.REACH) + 1, F.col("end_idx") - F.col("start_idx") + 1), " "))
     return rows.select(
         "doc_id", F.col("idx").alias("trigger_idx"), "start_idx", "end_idx", "cue_group", "cue_tier", "cue_text", priority.alias("window_priority"), "heading_text", "heading_category",
         F.col("sentence").alias("trigger_sentence"), "window_text", profile_hint(F.col("window_text"), F.col("heading_category"), group).alias("hint"), F.coalesce("demotion_reason", F.lit("")).alias("demotion_reason"), F.lit(False).alias("is_fallback"),

@@ -45,6 +45,6 @@ SEGMENT_WORDS = r"\b(?:segments?|verticals?|divisions?|business\s+units?|subsidi
 ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Sr", "Jr", "vs", "etc", "Inc", "Corp", "Ltd", "Co", "St", "Ave", "Blvd", "approx", "est", "fig", "no", "vol")
 DOTTED_ABBREVIATIONS = (("e", "g"), ("i", "e"), ("U", "S"), ("U", "K"), ("p", "m"), ("a", "m"))
 # Numbers of the window operator.
-LOOKBACK, NEARBY, NEAR_DUPLICATE, HEADING_LENGTH = 20, 2, 0.75, 120
+LOOKBACK, NEARBY, REACH, NEAR_DUPLICATE, HEADING_LENGTH = 20, 2, 2, 0.75, 120
 #: A text without any of these words, in lower case, matches no cue pattern; one without the first matches no competition heading.
 CUE_WORDS = ("compet", "compan", "pric", "market", "rival", "installed", "technical", "distribution", "switching", "barrier", "wallet")
