@@ -87,6 +87,9 @@ class Vocabulary:
         n = len(core) + 1
         self.sizes = [min(CLASS_SLOTS, n - k) for k in range(0, n, CLASS_SLOTS)]
         self.classes = len(self.sizes) + SUFFIX_CLASSES
+        every = np.arange(START)
+        self.class_of = np.where(every > CORE, len(self.sizes) + every - CORE - 1, every // CLASS_SLOTS)
+        self.slot_of = np.where(every > CORE, -1, every % CLASS_SLOTS)
         self.base_end = math.log10(documents + 1)
         self.base_size = math.log10(tokens + distinct + 1)
 
@@ -100,8 +103,7 @@ class Vocabulary:
 
     def targets(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class and slot (-1 in suffix classes) of each symbol."""
-        rare = symbols > CORE
-        return np.where(rare, len(self.sizes) + symbols - CORE - 1, symbols // CLASS_SLOTS), np.where(rare, -1, symbols % CLASS_SLOTS)
+        return self.class_of[symbols], self.slot_of[symbols]
 
 
 class Encoder:
@@ -114,7 +116,7 @@ class Encoder:
         self.symbols = np.array([*[vocabulary.symbol(w) for w in vocabulary.known], -1], np.int32)
 
     def ranks(self, words: list[bytes]) -> np.ndarray:
-        return np.array([*map(self.rank.get, words, repeat(-1))], np.int64)
+        return np.fromiter(map(self.rank.get, words, repeat(-1)), np.int64, len(words))
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols with the end, and ranks."""
@@ -142,10 +144,14 @@ def score(model: GatedModel, vocabulary: Vocabulary, docs: list[np.ndarray]) ->
     out = np.zeros(len(docs))
     h = np.zeros((len(block.lengths), model.hidden), np.float32)
     for x, y, fresh, owner, live in block.windows():
-        states, _ = model.forward(x, fresh, h[: x.shape[1]], False)
+        with np.errstate(over="ignore"):
+            states, _ = model.forward(x, fresh, h[: x.shape[1]], False)
         h = states[-1]
-        classes, slots = vocabulary.targets(y[live])
-        out += np.bincount(owner[live], model.log_probabilities(states[live], classes, slots), len(docs))
+        if live.all():
+            y, owner, states = y.ravel(), owner.ravel(), states.reshape(-1, model.hidden)
+        else:
+            y, owner, states = y[live], owner[live], states[live]
+        out += np.bincount(owner, model.log_probabilities(states, *vocabulary.targets(y)), len(docs))
     return out
 
 

@@ -17,7 +17,7 @@ _ROWS = 1024
 
 
 def _gate(y: np.ndarray) -> None:
-    """1 / (1 + e^y), in place: a gate opens as y falls."""
+    """1 / (1 + e^y), in place: a gate opens as y falls. An overflow to infinity closes it, as it should."""
     np.exp(y, out=y)
     y += 1
     np.reciprocal(y, out=y)
@@ -63,15 +63,14 @@ class GatedModel:
         """x, fresh: steps by lanes; fresh marks the first step of a document. Returns the states before each prediction."""
         w, n = self.weights, self.hidden
         out, kept = np.empty((*x.shape, n), w["recur"].dtype), []
-        gates = w["embed"][x]
+        gates, resets = w["embed"][x], fresh.any(axis=1)
         for t in range(len(x)):
-            if fresh[t].any():
+            if resets[t]:
                 h = h * ~fresh[t][:, None]
             u = h @ w["recur"]
             g = gates[t]
             zr = g[:, : 2 * n]
             zr += u[:, : 2 * n]
-            np.clip(zr, -60, 60, out=zr)
             _gate(zr)
             c, uc = g[:, 2 * n :], u[:, 2 * n :]
             c += zr[:, n:] * uc
@@ -103,7 +102,8 @@ class GatedModel:
     def gradients(self, x: np.ndarray, fresh: np.ndarray, live: np.ndarray, classes: np.ndarray, slots: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
         """Of the mean negative log probability over the live steps of a window; the state after it; the loss."""
         w, n = self.weights, self.hidden
-        states, kept = self.forward(x, fresh, h, True)
+        with np.errstate(over="ignore"):
+            states, kept = self.forward(x, fresh, h, True)
         at = np.flatnonzero(live.ravel())
         s, c, j = states.reshape(-1, n)[at], classes.ravel()[at], slots.ravel()[at]
         scale = np.float32(1 / max(1, len(at)))
@@ -153,8 +153,9 @@ class GatedModel:
         gates[..., : 2 * n] = through[..., : 2 * n]
         gates[..., 2 * n :] = dstates * of_cand
         flat = gates.reshape(-1, 3 * n)
-        order = np.argsort(x.ravel(), kind="stable")
-        ids = x.ravel()[order]
+        ids = x.ravel().astype(np.int16) if len(w["embed"]) < 1 << 15 else x.ravel()  # short numbers sort by radix
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
         begins = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
         grads["embed"][ids[begins]] = np.add.reduceat(flat[order], begins, axis=0)
         return grads, states[-1], loss * float(scale)
@@ -162,7 +163,7 @@ class GatedModel:
 
 def _by_class(classes: np.ndarray, slots: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     rows = np.flatnonzero(slots >= 0)
-    rows = rows[np.argsort(classes[rows], kind="stable")]
+    rows = rows[np.argsort(classes[rows].astype(np.int16), kind="stable")]
     held = classes[rows]
     cuts = np.flatnonzero(held[1:] != held[:-1]) + 1
     for part in np.split(rows, cuts) if len(rows) else ():
