@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import columns, map_arrow, read_table, record_batch
 
 #: White space as the tokenizer's patterns define it.
-_SPACE = r"\t-\r\x20\x85\xa0  -     　"
+_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A block is encoded when it has so many different words or so many words.
 BLOCK_DISTINCT, BLOCK_WORDS = 250_000, 6_000_000
 

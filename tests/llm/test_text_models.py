@@ -25,6 +25,14 @@ def library():
     return t
 
 
+def test_bpe_white_space(library):
+    mine = PairIndexBpe(PATH)
+    odd = [*range(0, 33), 0x7F, 0x85, 0xA0, 0xAD, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}!{chr(c)}1" for c in odd]
+    for text, ids in zip(texts, mine.encode_many(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_bpe_equals_library(library, spark, sf_dir):
     mine = PairIndexBpe(PATH)
     texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + ODD
