@@ -48,7 +48,7 @@ def html_to_text(raw: Column) -> Column:
 
 
 def normalize_space(text: Column) -> Column:
-    out = F.translate(text, " \f\r​﻿­", " \n\n")
+    out = F.translate(text, "\xa0\f\r\u200b\u200c\u200d\u2060\u2061\u2062\u2063\ufeff\xad", " \n\n")
     out = F.regexp_replace(out, r"(\w)-\n(\w)", "$1$2")
     out = F.regexp_replace(F.regexp_replace(out, r"[ \t]*\n[ \t]*", "\n"), r"[ \t]+", " ")
     return F.btrim(F.regexp_replace(out, r"\n{3,}", "\n\n"), F.lit(" \n"))

@@ -27,7 +27,7 @@ def file_tree(spark: SparkSession, paths: str | Sequence[str], suffixes: Iterabl
 def csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """CSV with header, quoted line ends and an optional byte order mark; all columns are text."""
     df = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(paths)
-    return df.toDF(*[c.lstrip("﻿").strip('"') for c in df.columns])
+    return df.toDF(*[c.lstrip("\ufeff").strip('"') for c in df.columns])
 
 
 def json_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -23,7 +23,7 @@ def audit(df: DataFrame, path: str, preferred: Sequence[str]) -> DataFrame:
 
 def export_csv(df: DataFrame, path: str, excel: bool = False) -> None:
     """CSV with header. excel: with a byte order mark before the first column's name."""
-    out = df.toDF(*[("﻿" if excel and k == 0 else "") + c for k, c in enumerate(df.columns)])
+    out = df.toDF(*[("\ufeff" if excel and k == 0 else "") + c for k, c in enumerate(df.columns)])
     out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 

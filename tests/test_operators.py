@@ -167,7 +167,7 @@ def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "raw" / "skip.bin").write_bytes(b"x")
     assert [(r.stem, r.text) for r in readers.file_tree(spark, str(tmp_path / "raw")).collect()] == [("f_a", "é")]
     assert [tuple(r) for r in readers.issuer_paths(spark, str(tmp_path / "raw")).collect()] == [("f_a", "0000123")]
-    (tmp_path / "candidate_windows_strict.csv").write_text('﻿a,b\n"x\ny","q""z"\n', encoding="utf-8")
+    (tmp_path / "candidate_windows_strict.csv").write_text('\ufeffa,b\n"x\ny","q""z"\n', encoding="utf-8")
     paths = readers.discover(spark, str(tmp_path))
     assert [tuple(r) for r in readers.union_all(spark, paths).select("a", "b").collect()] == [("x\ny", 'q"z')]
     (tmp_path / "log.txt").write_text("Excluded companies (2)\n\nAcme\n")
