@@ -8,7 +8,8 @@ from .common import staged
 
 
 def connected_components(edges: DataFrame, limit: int = 64) -> DataFrame:
-    """edges: a, b (long). Returns node, root (the smallest node reachable) for every node that has an edge.
+    """edges: a, b (long). Returns node, root (the smallest node reachable) for every node that has an edge
+    and isn't itself the root.
 
     Each round rewires every node to the smallest of its neighbours, first from the larger side, then from the smaller one.
     Only the round's edge count and checksum reach the driver; edges are written to the shared folder each round.

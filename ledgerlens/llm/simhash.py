@@ -7,40 +7,51 @@ in some table. Within a bucket no pairs are listed: each member stands for itsel
 and two members are within two bits exactly if they share such a centre. One link per member and centre, to the centre's
 smallest member, keeps all components whole at a cost linear in the bucket.
 
+near_copies serves cleaning: its fingerprints take the distinct words, its masks cover six bits, and what they group is then
+checked exactly for a similarity of five-word shingles of 0.8 or more, so no text goes that isn't a near copy of one that stays.
+
 Defined results: null and empty texts have fingerprint zero and are linked like any other; a null id is a row of its own
 whose component_id is the smallest non-null id of its component (null if there is none); repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import columns, join_unique, map_arrow, read_table, record_batch, staged
 from .components import connected_components
 
 BITS, RADIUS, WORDS, SEED = 64, 2, 3, 42
+#: near_copies: bits between fingerprints of distinct words; words in a shingle; least similarity as a fraction.
+WIDE_RADIUS, COPY_WORDS, SIMILAR = 6, 5, (4, 5)
 _SCHEMA = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+_SETS = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_COPIES = pa.schema([("doc_id", pa.int64()), ("keep_id", pa.int64()), ("similarity", pa.float64())])
 #: Shingle hashes counted at once.
 _BLOCK = 1 << 14
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """Unsigned 64-bit fingerprint: a bit is set if over half of the hashes of the shingles, repeats included, have it."""
+def _shingles(text: str | None, words: int) -> list[int]:
+    """Hashes of all shingles in order, repeats included; of the whole sequence if it is shorter; none without a word."""
     tokens = text.encode().lower().split() if text else []
     if not tokens:
-        return 0
+        return []
     joined = b" ".join(tokens)
     digest = xxhash.xxh64_intdigest
     if len(tokens) <= words:
-        return digest(joined, SEED)
+        return [digest(joined, SEED)]
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate(([0], ends[:-words] + 1))
-    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist(), strict=True)]
+    return [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist(), strict=True)]
+
+
+def _majority(hashes: list[int]) -> int:
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), _BLOCK):
         block = np.array(hashes[at : at + _BLOCK], np.uint64)
@@ -49,15 +60,46 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(bits.view(np.uint64)[0])
 
 
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """Unsigned 64-bit fingerprint: a bit is set if over half of the hashes of the shingles, repeats included, have it."""
+    return _majority(_shingles(text, words))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in columns(batches, "id", "text"):
         values = np.array([fingerprint(t) for t in texts.to_pylist()], np.uint64).view(np.int64)
         yield record_batch(_SCHEMA, ids, values)
 
 
+def word_fingerprint(text: str | None) -> int:
+    """Unsigned 64-bit fingerprint over the distinct words."""
+    return _majority(list(set(_shingles(text, 1))))
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Signed hashes of the distinct five-word shingles; texts without a word share the one set of the empty sequence."""
+    found = np.unique(np.array(_shingles(text, COPY_WORDS) or [xxhash.xxh64_intdigest(b"", SEED)], np.uint64))
+    return found.view(np.int64)
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, texts in columns(batches, "id", "text"):
+        found = texts.to_pylist()
+        fps = np.array([word_fingerprint(t) for t in found], np.uint64).view(np.int64)
+        sets = [shingle_set(t) for t in found]
+        ends = np.cumsum([0, *(x.size for x in sets)]).astype(np.int32)
+        yield record_batch(_SETS, ids, fps, pa.ListArray.from_arrays(ends, np.concatenate(sets)))
+
+
 def covering_masks(radius: int = RADIUS) -> list[int]:
-    """The masks as signed 64-bit values. Bit i has code 1 + i mod (2^(r+1) - 1)."""
-    codes = [1 + i % ((1 << radius + 1) - 1) for i in range(BITS)]
+    """The masks as signed 64-bit values, for a radius up to 6.
+
+    Bit i has code 1 + i mod (2^(r+1) - 1) while all codes occur; at radius 6 the codes are those with the top bit set, whose
+    masks keep 32 bits or all.
+    """
+    if not 0 <= radius <= 6:
+        raise ValueError("masks of 64 bits are balanced for a radius of 0 to 6")
+    codes = [1 + i % ((1 << radius + 1) - 1) if radius < 6 else 64 + i for i in range(BITS)]
     masks = [sum(1 << i for i, c in enumerate(codes) if (c & v).bit_count() & 1) for v in range(1, 1 << radius + 1)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
@@ -88,6 +130,111 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return join_unique(rows, staged(named, "named"), "fp", "n").select(F.col("id").alias("doc_id"), "fp", "component_id")
 
 
+def spanning_links(fps: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
+    """Links that connect exactly what pairs of fps (unsigned) within the radius connect, one per fp at most.
+
+    Each fp reached is compared once with those not reached yet, so a dense bucket costs little more than its size.
+    """
+    rest = fps
+    while rest.size > 1:
+        reached, rest = [rest[0]], rest[1:]
+        while reached and rest.size:
+            x = reached.pop()
+            near = np.bitwise_count(rest ^ x) <= radius
+            if near.any():
+                found = rest[near]
+                rest = rest[~near]
+                reached.extend(found)
+                yield from ((int(x), int(y)) for y in found)
+
+
+def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches come sorted by key, a bucket's rows together; only the current bucket's fingerprints are held."""
+    out: set[tuple[int, int]] = set()
+    key, parts = None, []
+
+    def links() -> Iterable[tuple[int, int]]:
+        return spanning_links(np.concatenate(parts).view(np.uint64), WIDE_RADIUS) if parts else ()
+
+    def batch() -> pa.RecordBatch:
+        pairs = np.array(sorted(out), np.uint64).reshape(-1, 2).view(np.int64)
+        return record_batch(_LINKS, pairs[:, 0].copy(), pairs[:, 1].copy())
+
+    for keys, fps in columns(batches, "key", "fp"):
+        k, f = keys.to_numpy(), fps.to_numpy()
+        cuts = np.flatnonzero(np.diff(k)) + 1
+        for start, piece in zip([0, *cuts.tolist()], np.split(f, cuts), strict=True):
+            if k[start] != key:
+                out.update(links())
+                key, parts = k[start], []
+            parts.append(piece)
+        if len(out) > _BLOCK:
+            yield batch()
+            out = set()
+    out.update(links())
+    if out:
+        yield batch()
+
+
+def wide_links(fps: DataFrame) -> DataFrame:
+    """fps: distinct fp (long). Links a, b that connect exactly what pairs within WIDE_RADIUS bits connect."""
+    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(covering_masks(WIDE_RADIUS))])
+    bucket = Window.partitionBy("key").orderBy("fp")
+    tables = fps.select("fp", F.explode(keys).alias("key"))
+    crowded = tables.withColumn("before", F.lag("fp").over(bucket)).withColumn("after", F.lead("fp").over(bucket)).filter("before is not null or after is not null")
+    return map_arrow(crowded.select("key", "fp"), _bucket_links, "a long, b long").distinct()
+
+
+def _keep_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches come sorted by group and id. Holds the sets of the current group's kept documents, and yields those that go.
+
+    A document within reach of the threshold shares one of any |A| - ceil(0.8 |A|) + 1 of its shingles with the kept one;
+    those that the fewest kept documents have are looked up.
+    """
+    top, bottom = SIMILAR
+    group, kept, holders = None, [], {}
+    for roots, ids, sets in columns(batches, "root", "id", "shingles"):
+        gone = []
+        for root, i, found in zip(roots.to_pylist(), ids.to_pylist(), sets.to_pylist(), strict=True):
+            if root != group:
+                group, kept, holders = root, [], {}
+            own = set(found)
+            probes = sorted(own, key=lambda x: len(holders.get(x, ())))[: len(own) - -(-top * len(own) // bottom) + 1]
+            near = None
+            for at in sorted({n for x in probes for n in holders.get(x, ())}):
+                shared = len(own & kept[at][1])
+                union = len(own) + len(kept[at][1]) - shared
+                if bottom * shared >= top * union:
+                    near = (i, kept[at][0], shared / union)
+                    break
+            if near is None:
+                for x in own:
+                    holders.setdefault(x, []).append(len(kept))
+                kept.append((i, own))
+            elif near[0] != near[1]:
+                gone.append(near)
+        if gone:
+            yield record_batch(_COPIES, *zip(*gone, strict=True))
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents to drop: doc_id, keep_id, similarity, one row per row that goes.
+
+    Fingerprints of distinct words within six bits group documents. In each group, by ascending id, a document stays unless its
+    five-word shingles are 0.8 or more similar to those of one that stays; keep_id is the smallest such id. So of no pair that
+    is grouped and similar do both stay, and each document that goes has a similar one that stays. A group is a stream, in
+    which only kept documents' shingles are held. Rows without an id stay; rows that repeat an id share its fate.
+    """
+    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = staged(map_arrow(texts, _sets, "id long, fp long, shingles array<long>"), "sets")
+    fps = staged(rows.groupBy("fp").agg(F.count("*").alias("n")), "distinct")
+    roots = staged(connected_components(wide_links(fps.select("fp"))), "roots")
+    roots = roots.union(roots.select("root", "root").distinct())
+    known = staged(fps.join(roots, fps["fp"] == roots["node"], "left").filter("n > 1 or node is not null").select("fp", "n", F.coalesce("root", "fp").alias("root")), "known")
+    grouped = join_unique(rows, known, "fp", "n")
+    return map_arrow(grouped.select("root", "id", "shingles").repartition("root").sortWithinPartitions("root", "id"), _keep_first, "doc_id long, keep_id long, similarity double")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

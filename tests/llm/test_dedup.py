@@ -2,11 +2,12 @@ import hashlib
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import xxhash
 
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.exact_dedup import exact_duplicates
-from ledgerlens.llm.simhash import covering_masks, fingerprint, near_duplicates, near_links, op7_simhash
+from ledgerlens.llm.simhash import covering_masks, fingerprint, near_copies, near_duplicates, near_links, op7_simhash, spanning_links, wide_links
 
 from .cases import documents, empty
 
@@ -108,3 +109,91 @@ def test_components_of_a_path_and_star(spark):
     star = [(1000, i) for i in range(1001, 1500)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(path + star + [(7, 7)], "a long, b long")).collect()}
     assert set(got[i] for i in range(1, 301)) == {0} and set(got[i] for i in range(1001, 1500)) == {1000}
+
+
+def words_of(text):
+    return [w for w in lower(text).translate({c: " " for c in range(9, 14)}).split(" ") if w]
+
+
+def word_print(text):
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(words_of(text))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def likeness(a, b):
+    a, b = words_of(a), words_of(b)
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def first_of_copies(texts):
+    """Ids that stay, by the definition of near_copies."""
+    prints = {i: word_print(t) for i, t in texts.items()}
+    root = components_of(texts, [(a, b) for a, b in combinations(sorted(texts), 2) if (prints[a] ^ prints[b]).bit_count() <= 6])
+    groups, kept = defaultdict(list), []
+    for i in sorted(texts):
+        if all(likeness(texts[i], texts[k]) < 0.8 for k in groups[root[i]]):
+            groups[root[i]].append(i)
+            kept.append(i)
+    return kept
+
+
+def edited(rng, words, count):
+    words = list(words)
+    for _ in range(count):
+        words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_copies_against_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    texts, planted = {}, []
+    for n in range(40):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice((8, 90, 300)))]
+        texts[n * 10] = " ".join(words)
+        for k in range(1, 4):
+            texts[n * 10 + k] = edited(rng, words, max(1, len(words) // rng.choice((20, 60, 150))))
+    crowd = [f"c{rng.randrange(500)}" for _ in range(120)]
+    texts |= {1000 + k: edited(rng, crowd, rng.choice((1, 2, 5))) for k in range(300)}
+    texts |= {2000: "", 2001: None, 2002: " \t", 2003: "word", 2004: "WORD"}
+    got = near_copies(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]).repartition(5)).collect()
+    kept = first_of_copies(texts)
+    assert sorted(r.doc_id for r in got) == sorted(set(texts) - set(kept)) and {2001, 2002, 2004} <= {r.doc_id for r in got}
+    for r in got:
+        assert r.keep_id in kept and r.keep_id < r.doc_id and abs(r.similarity - likeness(texts[r.doc_id], texts[r.keep_id])) < 1e-12 and r.similarity >= 0.8
+    pairs = [(a, b) for n in range(40) for a, b in combinations(range(n * 10, n * 10 + 4), 2) if likeness(texts[a], texts[b]) >= 0.8]
+    close = [(a, b) for a, b in pairs if (word_print(texts[a]) ^ word_print(texts[b])).bit_count() <= 6]
+    assert len(close) >= 0.9 * len(pairs) and not any(a in kept and b in kept for a, b in close)
+
+
+def test_near_copies_awkward(spark):
+    got = {r.doc_id for r in near_copies(documents(spark)).collect()}
+    assert got == {2, 4, 8, 9, 12}
+    assert near_copies(empty(spark)).count() == 0
+    assert near_copies(documents(spark, [(None, "a b", "en", "s")] * 3)).count() == 0
+
+
+def test_wide_masks_cover_and_links_are_exact(spark):
+    import random
+
+    rng = random.Random(8)
+    masks = covering_masks(6)
+    kept = [(m & (1 << 64) - 1).bit_count() for m in masks]
+    assert len(masks) == 127 and min(kept) == 32
+    for _ in range(3000):
+        change = sum(1 << b for b in rng.sample(range(64), 6))
+        assert any(not m & change for m in masks)
+    points = {rng.getrandbits(64) for _ in range(20)}
+    for x in list(points):
+        for _ in range(20):
+            points.add(x ^ sum(1 << b for b in rng.sample(range(64), rng.choice((1, 4, 6, 7, 9)))))
+    signed = {p: p - (1 << 64) if p >> 63 else p for p in points}
+    want = components_of(sorted(signed.values()), [(signed[a], signed[b]) for a, b in combinations(points, 2) if (a ^ b).bit_count() <= 6])
+    links = wide_links(spark.createDataFrame([(v,) for v in signed.values()], "fp long"))
+    assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= 6 for r in links.collect())
+    got = {r.node: r.root for r in connected_components(links).collect()}
+    assert got == {n: r for n, r in want.items() if n in got} and all(n == r for n, r in want.items() if n not in got)
+    dense = np.arange(64, dtype=np.uint64)
+    assert len(list(spanning_links(dense, 6))) == 63
