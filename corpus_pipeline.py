@@ -27,10 +27,10 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that SimHash links, the one with the smallest doc_id stays."""
+    """Near copies that SimHash groups, with five-word similarity of 0.8 or more to a document that stays, go."""
     docs = _documents(docs)
-    kept = simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    gone = staged(simhash.near_copies(docs).select("doc_id").distinct(), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
