@@ -32,10 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import columns, map_arrow, read_table, record_batch, staged
 from .recurrent import LANES, Adam, GatedModel, Lanes
 
-CORE, CLASS_SLOTS, SUFFIX_CLASSES, HEAD = 1023, 32, 32, 200_000
-HIDDEN, WARM_TOKENS, WARM_PASSES, WARM_RATE, RATE = 12, 400_000, 4, 0.02, 0.002
-#: In the pass over all documents the loss is taken at every LOSS_STRIDE-th token; gradients and states go through all.
-LOSS_STRIDE = 4
+CORE, CLASS_SLOTS, SUFFIX_CLASSES, HEAD = 1023, 32, 64, 200_000
+HIDDEN, WARM_TOKENS, WARM_PASSES, WARM_RATE, RATE = 16, 400_000, 4, 0.02, 0.002
 #: Tokens of one block of documents in lanes, words counted before they are handed on, and weights in one block of the average.
 BLOCK_TOKENS, COUNTED_WORDS, WEIGHTS_PER_BLOCK = 3_000_000, 300_000, 4096
 END, START = 0, CORE + 1 + SUFFIX_CLASSES
@@ -127,13 +125,11 @@ class Encoder:
         return symbols, ranks
 
 
-def train(model: GatedModel, vocabulary: Vocabulary, docs: list[np.ndarray], adam: Adam, lanes: int = LANES, stride: int = 1) -> None:
-    """One pass of truncated backpropagation over whole documents. With stride s the loss is taken at every s-th token."""
+def train(model: GatedModel, vocabulary: Vocabulary, docs: list[np.ndarray], adam: Adam, lanes: int = LANES) -> None:
+    """One pass of truncated backpropagation over whole documents, with the loss of every token."""
     block = Lanes(docs, START, lanes)
     h = np.zeros((len(block.lengths), model.hidden), np.float32)
-    for k, (x, y, fresh, _, live) in enumerate(block.windows()):
-        if stride > 1:
-            live = live & (np.add.outer(np.arange(len(x)), np.arange(x.shape[1])) % stride == k % stride)
+    for x, y, fresh, _, live in block.windows():
         grads, h, _ = model.gradients(x, fresh, live, *vocabulary.targets(y), h[: x.shape[1]])
         adam.step(grads)
 
@@ -210,7 +206,7 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> GatedModel:
         own.load(start.flat())
         adam, tokens = Adam(own, RATE), 0
         for docs in _blocks(batches, Encoder(words)):
-            train(own, words, docs, adam, stride=LOSS_STRIDE)
+            train(own, words, docs, adam)
             tokens += sum(map(len, docs))
         if tokens:
             flat = own.flat()

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerlens.llm import lm_scoring
 from ledgerlens.llm.lm_scoring import lm_scores, op2_lm_scoring
@@ -105,3 +106,22 @@ def test_lm_awkward(spark):
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
     alone = lm_scores(documents(spark, [(i, "some words", "en", "s") for i in held])).collect()
     assert {(r.n_known, r.train_tokens) for r in alone} == {(0, 0)}
+
+
+def test_every_token_gives_loss(spark, monkeypatch):
+    taken, gradients, run = [], GatedModel.gradients, lm_scoring.map_arrow
+    monkeypatch.setattr(GatedModel, "gradients", lambda self, x, fresh, live, *a: taken.append(int(live.sum())) or gradients(self, x, fresh, live, *a))
+    texts = [" ".join(f"w{k % 50}" for k in range(n)) for n in (0, 1, 30, 200, 77, 3)]
+
+    def here(frame, f, schema):
+        if frame.columns == ["text"] and "weights" in schema:  # the pass over all documents, once more in this process
+            assert list(f(iter([pa.record_batch({"text": texts})])))
+        return run(frame, f, schema)
+
+    monkeypatch.setattr(lm_scoring, "map_arrow", here)
+    frame = spark.createDataFrame([(0.5, t) for t in texts], "draw double, text string")
+    _, vocabulary = lm_scoring.counted(frame.select("text"))
+    model = lm_scoring.fit(frame, vocabulary)
+    tokens = sum(len(split(t)) + 1 for t in texts)
+    assert sum(taken) == (lm_scoring.WARM_PASSES + 1) * tokens == (lm_scoring.WARM_PASSES + 1) * vocabulary.tokens
+    assert model.hidden == 16 and lm_scoring.SUFFIX_CLASSES == 64
