@@ -27,9 +27,9 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies that SimHash groups, with five-word similarity of 0.8 or more to a document that stays, go."""
+    """Of the documents that five-word similarity of 0.8 or more connects, within what SimHash groups, the smallest doc_id stays."""
     docs = _documents(docs)
-    gone = staged(simhash.near_copies(docs).select("doc_id").distinct(), "gone")
+    gone = staged(simhash.near_groups(docs).select("doc_id"), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
 
 

@@ -7,8 +7,9 @@ in some table. Within a bucket no pairs are listed: each member stands for itsel
 and two members are within two bits exactly if they share such a centre. One link per member and centre, to the centre's
 smallest member, keeps all components whole at a cost linear in the bucket.
 
-near_copies serves cleaning: its fingerprints take the distinct words, its masks cover six bits, and what they group is then
-checked exactly for a similarity of five-word shingles of 0.8 or more, so no text goes that isn't a near copy of one that stays.
+near_groups serves cleaning: its fingerprints take the distinct words, its masks cover six bits, and what they group is then
+checked exactly for a similarity of five-word shingles of 0.8 or more; of the texts that such links connect one stays. near_copies
+is the older rule, which compares only with texts that stay.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; a null id is a row of its own
 whose component_id is the smallest non-null id of its component (null if there is none); repeated rows give repeated results.
@@ -217,14 +218,83 @@ def _keep_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield record_batch(_COPIES, *zip(*gone, strict=True))
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents to drop: doc_id, keep_id, similarity, one row per row that goes.
+def similar_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Links (positions in sets) that connect exactly what pairs of similarity SIMILAR or more connect, one per set at most.
 
-    Fingerprints of distinct words within six bits group documents. In each group, by ascending id, a document stays unless its
-    five-word shingles are 0.8 or more similar to those of one that stays; keep_id is the smallest such id. So of no pair that
-    is grouped and similar do both stay, and each document that goes has a similar one that stays. A group is a stream, in
-    which only kept documents' shingles are held. Rows without an id stay; rows that repeat an id share its fate.
+    Each set reached looks up, among those not reached yet, the holders of its rarest |A| - ceil(0.8 |A|) + 1 shingles; a similar
+    set has one of any that many. The index is built anew whenever half of its sets are reached, so dense groups stay cheap.
+    """
+    top, bottom = SIMILAR
+    sizes = np.array([x.size for x in sets], np.int64)
+    begins = np.concatenate(([0], np.cumsum(sizes)))
+    values, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    waiting, mine = np.ones(len(sets), bool), np.zeros(len(values), bool)
+    indexed, left = 0, len(sets)
+    for seed in range(len(sets)):
+        if not waiting[seed]:
+            continue
+        waiting[seed] = False
+        left -= 1
+        reached = [seed]
+        while reached and left:
+            if not indexed or 2 * left < indexed:
+                held = waiting[owner]
+                order = np.argsort(tokens[held], kind="stable")
+                holders = owner[held][order]
+                counts = np.bincount(tokens[held], minlength=len(values))
+                starts, indexed = np.cumsum(counts) - counts, left
+            x = reached.pop()
+            own = tokens[begins[x] : begins[x + 1]]
+            probes = own[np.argsort(counts[own], kind="stable")[: own.size - -(-top * own.size // bottom) + 1]]
+            found = np.concatenate([holders[starts[t] : starts[t] + counts[t]] for t in probes])
+            found = np.unique(found[waiting[found]])
+            found = found[(bottom * sizes[found] >= top * own.size) & (top * sizes[found] <= bottom * own.size)]
+            if not found.size:
+                continue
+            mine[own] = True
+            shared = np.add.reduceat(mine[np.concatenate([tokens[begins[y] : begins[y + 1]] for y in found])], np.cumsum(sizes[found]) - sizes[found], dtype=np.int64)
+            mine[own] = False
+            near = found[bottom * shared >= top * (own.size + sizes[found] - shared)]
+            waiting[near] = False
+            left -= near.size
+            reached.extend(near.tolist())
+            yield from ((x, y) for y in near.tolist())
+
+
+def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches come sorted by group and id. Holds the sets of the current group and yields links between ids."""
+    group, ids, sets = None, [], []
+
+    def batch() -> Iterator[pa.RecordBatch]:
+        pairs = [(ids[x], ids[y]) for x, y in similar_links(sets)] if len(sets) > 1 else []
+        if pairs:
+            yield record_batch(_LINKS, *map(list, zip(*pairs, strict=True)))
+
+    for roots, found, shingles in columns(batches, "root", "id", "shingles"):
+        flat, ends = shingles.flatten().to_numpy(), np.cumsum(shingles.value_lengths().to_numpy())
+        for root, i, part in zip(roots.to_pylist(), found.to_pylist(), np.split(flat, ends[:-1]), strict=True):
+            if root != group:
+                yield from batch()
+                group, ids, sets = root, [], []
+            ids.append(i)
+            sets.append(part.copy())
+    yield from batch()
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents to drop: doc_id, keep_id, one row per id that goes.
+
+    Documents whose five-word shingles are 0.8 or more similar are linked if fingerprints of distinct words within six bits group
+    them; of each set of documents that links connect, also over documents that go, the smallest id stays as keep_id. Rows
+    without an id stay; rows that repeat an id are one document.
     """
+    links = map_arrow(_grouped(docs, id_col, text_col), _group_links, "a long, b long")
+    return connected_components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("keep_id"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """root, id, shingles, dealt and sorted by group, of all documents whose group has others."""
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = staged(map_arrow(texts, _sets, "id long, fp long, shingles array<long>"), "sets")
     fps = staged(rows.groupBy("fp").agg(F.count("*").alias("n")), "distinct")
@@ -232,7 +302,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     roots = roots.union(roots.select("root", "root").distinct())
     known = staged(fps.join(roots, fps["fp"] == roots["node"], "left").filter("n > 1 or node is not null").select("fp", "n", F.coalesce("root", "fp").alias("root")), "known")
     grouped = join_unique(rows, known, "fp", "n")
-    return map_arrow(grouped.select("root", "id", "shingles").repartition("root").sortWithinPartitions("root", "id"), _keep_first, "doc_id long, keep_id long, similarity double")
+    return grouped.select("root", "id", "shingles").repartition("root").sortWithinPartitions("root", "id")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents to drop: doc_id, keep_id, similarity, one row per row that goes.
+
+    Fingerprints of distinct words within six bits group documents. In each group, by ascending id, a document stays unless its
+    five-word shingles are 0.8 or more similar to those of one that stays; keep_id is the smallest such id. So of no pair that
+    is grouped and similar do both stay, and each document that goes has a similar one that stays. A group is a stream, in
+    which only kept documents' shingles are held. Rows without an id stay; rows that repeat an id share its fate.
+    """
+    return map_arrow(_grouped(docs, id_col, text_col), _keep_first, "doc_id long, keep_id long, similarity double")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

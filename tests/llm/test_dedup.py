@@ -7,7 +7,7 @@ import xxhash
 
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.exact_dedup import exact_duplicates
-from ledgerlens.llm.simhash import covering_masks, fingerprint, near_copies, near_duplicates, near_links, op7_simhash, spanning_links, wide_links
+from ledgerlens.llm.simhash import covering_masks, fingerprint, near_copies, near_duplicates, near_groups, near_links, op7_simhash, spanning_links, wide_links
 
 from .cases import documents, empty
 
@@ -197,3 +197,23 @@ def test_wide_masks_cover_and_links_are_exact(spark):
     assert got == {n: r for n, r in want.items() if n in got} and all(n == r for n, r in want.items() if n not in got)
     dense = np.arange(64, dtype=np.uint64)
     assert len(list(spanning_links(dense, 6))) == 63
+
+
+def test_near_groups_keep_one_of_each(spark):
+    import random
+
+    rng = random.Random(4)
+    texts = {}
+    for n in range(3):  # the original comes last: its copies are below 0.8 to one another
+        words = [f"w{n}x{k}" for k in range(200)]
+        texts |= {n * 1000 + k: edited(rng, words, 4) for k in range(100)}
+        texts[n * 1000 + 500] = " ".join(words)
+    texts |= {5000: "", 5001: None, 5002: " \t", 5003: "word", 5004: "WORD", 5005: "alone"}
+    want = components_of(sorted(texts), [(a, b) for a, b in combinations(sorted(texts), 2) if likeness(texts[a], texts[b]) >= 0.8])
+    got = near_groups(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]).repartition(5)).collect()
+    assert sorted(map(tuple, got)) == sorted((i, r) for i, r in want.items() if i != r)
+    assert len(got) == 3 * 100 + 3
+    assert near_groups(empty(spark)).count() == 0
+    assert near_groups(documents(spark, [(None, "a b", "en", "s")] * 3)).count() == 0
+    repeated = [(1, "a b c", "en", "s"), (2, "a b c", "en", "s"), (2, "d e f", "en", "s"), (3, "d e f", "en", "s")]
+    assert sorted(map(tuple, near_groups(documents(spark, repeated)).collect())) == [(2, 1), (3, 1)]
