@@ -27,7 +27,7 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that five-word similarity of 0.8 or more connects, within what SimHash groups, the smallest doc_id stays."""
+    """Of the documents that five-word similarity of 0.8 or more connects, the smallest doc_id stays."""
     docs = _documents(docs)
     gone = staged(simhash.near_groups(docs).select("doc_id"), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
@@ -51,7 +51,7 @@ STAGES = [
     ("pii", redact_personal_data),
     ("packing", pack_sequences),
 ]
-#: SQL can't express the language, SimHash and boosting stages.
+#: SQL can't express the language, near-duplicate and boosting stages.
 ORACLE_SQL = None
 
 

@@ -7,9 +7,10 @@ in some table. Within a bucket no pairs are listed: each member stands for itsel
 and two members are within two bits exactly if they share such a centre. One link per member and centre, to the centre's
 smallest member, keeps all components whole at a cost linear in the bucket.
 
-near_groups serves cleaning: its fingerprints take the distinct words, its masks cover six bits, and what they group is then
-checked exactly for a similarity of five-word shingles of 0.8 or more; of the texts that such links connect one stays. near_copies
-is the older rule, which compares only with texts that stay.
+near_groups serves cleaning: texts that share one of BANDS keys, each of the smallest hashes of the five-word shingles under
+BAND_ROWS functions, are grouped and then checked exactly for a similarity of 0.8 or more; of the texts that such links connect one
+stays. A pair of similarity 0.8 shares no key with a probability of (1 - 0.8^7)^80 = 7e-9, whatever the edit. near_copies is the
+older rule: it groups by fingerprints of distinct words within six bits and compares only with texts that stay.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; a null id is a row of its own
 whose component_id is the smallest non-null id of its component (null if there is none); repeated rows give repeated results.
@@ -31,6 +32,11 @@ BITS, RADIUS, WORDS, SEED = 64, 2, 3, 42
 #: near_copies: bits between fingerprints of distinct words; words in a shingle; least similarity as a fraction.
 WIDE_RADIUS, COPY_WORDS, SIMILAR = 6, 5, (4, 5)
 _SCHEMA = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+#: near_groups: keys of a text, and functions whose smallest hashes make a key.
+BANDS, BAND_ROWS = 80, 7
+_BANDED = pa.schema([("id", pa.int64()), ("keys", pa.list_(pa.int64()))])
+#: Bits of the filter that lets documents with near copies, and a few others, go on to the shuffle.
+_FILTER_BITS = 1 << 23
 _SETS = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _COPIES = pa.schema([("doc_id", pa.int64()), ("keep_id", pa.int64()), ("similarity", pa.float64())])
@@ -92,6 +98,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield record_batch(_SETS, ids, fps, pa.ListArray.from_arrays(ends, np.concatenate(sets)))
 
 
+def _odd(count: int, bits: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << bits, count, np.dtype(f"uint{bits}"), endpoint=False) | np.dtype(f"uint{bits}").type(1)
+
+
+_TIMES, _PLUS = _odd(BANDS * BAND_ROWS, 32, 1)[:, None], _odd(BANDS * BAND_ROWS, 32, 2)[:, None]
+_MIX = _odd(BANDS * BAND_ROWS, 64, 3).reshape(BANDS, BAND_ROWS)
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """Signed keys of a set of shingle hashes, one a band: equal if all of the band's smallest hashes are."""
+    halves = (shingles.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * BAND_ROWS, (1 << 32) - 1, np.uint32)
+    for at in range(0, halves.size, 512):
+        np.minimum(least, (halves[at : at + 512] * _TIMES + _PLUS).min(axis=1), out=least)
+    keys = (least.reshape(BANDS, BAND_ROWS).astype(np.uint64) * _MIX).sum(axis=1, dtype=np.uint64)
+    return ((keys ^ keys >> np.uint64(29)) * _MIX[:, 0]).view(np.int64)
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, texts in columns(batches, "id", "text"):
+        keys = np.concatenate([band_keys(shingle_set(t)) for t in texts.to_pylist()])
+        yield record_batch(_BANDED, ids, pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys))
+
+
 def covering_masks(radius: int = RADIUS) -> list[int]:
     """The masks as signed 64-bit values, for a radius up to 6.
 
@@ -271,38 +301,49 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if pairs:
             yield record_batch(_LINKS, *map(list, zip(*pairs, strict=True)))
 
-    for roots, found, shingles in columns(batches, "root", "id", "shingles"):
-        flat, ends = shingles.flatten().to_numpy(), np.cumsum(shingles.value_lengths().to_numpy())
-        for root, i, part in zip(roots.to_pylist(), found.to_pylist(), np.split(flat, ends[:-1]), strict=True):
+    for roots, found, texts in columns(batches, "root", "id", "text"):
+        for root, i, text in zip(roots.to_pylist(), found.to_pylist(), texts.to_pylist(), strict=True):
             if root != group:
                 yield from batch()
                 group, ids, sets = root, [], []
             ids.append(i)
-            sets.append(part.copy())
+            sets.append(shingle_set(text))
     yield from batch()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents to drop: doc_id, keep_id, one row per id that goes.
 
-    Documents whose five-word shingles are 0.8 or more similar are linked if fingerprints of distinct words within six bits group
-    them; of each set of documents that links connect, also over documents that go, the smallest id stays as keep_id. Rows
-    without an id stay; rows that repeat an id are one document.
+    Documents whose five-word shingles are 0.8 or more similar are linked; of each set of documents that links connect, also over
+    documents that go, the smallest id stays as keep_id. Rows without an id stay; rows that repeat an id are one document.
     """
-    links = map_arrow(_grouped(docs, id_col, text_col), _group_links, "a long, b long")
+    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    banded = map_arrow(texts, _banded, "id long, keys array<long>")
+    bucket = Window.partitionBy("key").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stars = banded.select(F.col("id").alias("b"), F.explode("keys").alias("key")).select(F.first("b").over(bucket).alias("a"), "b").filter("a <> b").distinct()
+    roots = staged(connected_components(stars), "roots")
+    roots = staged(roots.union(roots.select("root", "root").distinct()).select(F.col("node").alias("id"), "root"), "members")
+    grouped = _members(texts, roots).join(roots, "id").select("root", "id", "text")
+    links = map_arrow(grouped.repartition("root").sortWithinPartitions("root", "id"), _group_links, "a long, b long")
     return connected_components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("keep_id"))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """root, id, shingles, dealt and sorted by group, of all documents whose group has others."""
-    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = staged(map_arrow(texts, _sets, "id long, fp long, shingles array<long>"), "sets")
-    fps = staged(rows.groupBy("fp").agg(F.count("*").alias("n")), "distinct")
-    roots = staged(connected_components(wide_links(fps.select("fp"))), "roots")
-    roots = roots.union(roots.select("root", "root").distinct())
-    known = staged(fps.join(roots, fps["fp"] == roots["node"], "left").filter("n > 1 or node is not null").select("fp", "n", F.coalesce("root", "fp").alias("root")), "known")
-    grouped = join_unique(rows, known, "fp", "n")
-    return grouped.select("root", "id", "shingles").repartition("root").sortWithinPartitions("root", "id")
+def _members(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of texts whose id is in roots, and a few others: a bitmap of hashed ids spares the shuffle most other texts."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(_FILTER_BITS)) + 1
+    bits = np.zeros(_FILTER_BITS, bool)
+    width = 1 << 15  # of Spark's bitmaps
+    for r in roots.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect():
+        bits[(r["k"] - 1) * width : r["k"] * width] = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
+    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.select(["id", "text"]).filter(pa.array(held[batch.column(2).to_numpy() - 1]))
+
+    return map_arrow(texts.select("id", "text", slot.alias("slot")), run, "id long, text string")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,7 +354,14 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     is grouped and similar do both stay, and each document that goes has a similar one that stays. A group is a stream, in
     which only kept documents' shingles are held. Rows without an id stay; rows that repeat an id share its fate.
     """
-    return map_arrow(_grouped(docs, id_col, text_col), _keep_first, "doc_id long, keep_id long, similarity double")
+    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = staged(map_arrow(texts, _sets, "id long, fp long, shingles array<long>"), "sets")
+    fps = staged(rows.groupBy("fp").agg(F.count("*").alias("n")), "distinct")
+    roots = staged(connected_components(wide_links(fps.select("fp"))), "roots")
+    roots = roots.union(roots.select("root", "root").distinct())
+    known = staged(fps.join(roots, fps["fp"] == roots["node"], "left").filter("n > 1 or node is not null").select("fp", "n", F.coalesce("root", "fp").alias("root")), "known")
+    grouped = join_unique(rows, known, "fp", "n")
+    return map_arrow(grouped.select("root", "id", "shingles").repartition("root").sortWithinPartitions("root", "id"), _keep_first, "doc_id long, keep_id long, similarity double")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,3 +217,20 @@ def test_near_groups_keep_one_of_each(spark):
     assert near_groups(documents(spark, [(None, "a b", "en", "s")] * 3)).count() == 0
     repeated = [(1, "a b c", "en", "s"), (2, "a b c", "en", "s"), (2, "d e f", "en", "s"), (3, "d e f", "en", "s")]
     assert sorted(map(tuple, near_groups(documents(spark, repeated)).collect())) == [(2, 1), (3, 1)]
+
+
+def test_near_groups_after_added_and_lost_passages(spark):
+    import random
+
+    rng = random.Random(6)
+    draw = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    texts = {}
+    for n in range(120):
+        words = draw(rng.choice((100, 250, 600)))
+        size = len(words)
+        texts[2 * n] = " ".join(words)
+        texts[2 * n + 1] = " ".join([words + draw(size // 10), words + draw(size // 5), words[: -size // 10], words[size // 7 :], words[: size // 2] + draw(size // 10) + words[size // 2 :], draw(size // 6) + words][n % 6])
+    alike = {n for n in range(120) if likeness(texts[2 * n], texts[2 * n + 1]) >= 0.8}
+    assert len(alike) > 100 and sum((word_print(texts[2 * n]) ^ word_print(texts[2 * n + 1])).bit_count() > 6 for n in alike) > 20
+    got = near_groups(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]).repartition(5)).collect()
+    assert sorted(map(tuple, got)) == sorted((2 * n + 1, 2 * n) for n in alike)
