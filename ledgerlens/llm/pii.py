@@ -94,7 +94,7 @@ def proposals(text: str) -> list[Span]:
         run, start = m[0], m.start()
         pieces = {(0, len(run))}
         at = 0
-        for word in run.split(" ")[:20]:  # also each blank-free part, so that neighbouring numbers don't hide one another
+        for word in run.split(" "):  # also each blank-free part, so that neighbouring numbers don't hide one another
             pieces.add((at, at + len(word)))
             at += len(word) + 1
         for a, b in pieces:

@@ -147,3 +147,11 @@ def test_redaction_and_awkward(spark):
     assert rows[3] is None and rows[7] == LONG and rows[13] == "[EMAIL] or [PHONE] x\x1cy [IP]"
     assert pii.redact_text("abcdef", [("ip", 1, 3), ("card", 2, 5)]) == "a[IP]f"
     assert pii.fit(empty(spark)).spans(["a@b.c"]) == [([("email", 0, 5)], [("email", 0, 5)])]
+
+
+def test_every_number_of_a_long_run_is_proposed():
+    numbers = [f"555-{100 + k}-4567" for k in range(300)]
+    for gap in (" ", "  "):
+        text = gap.join(numbers)
+        found = {text[a:b] for kind, a, b in pii.proposals(text) if kind == "phone"}
+        assert found == set(numbers)
