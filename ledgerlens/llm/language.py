@@ -8,7 +8,8 @@ byte to a row of code lengths, so a text is scored by whole-array look-ups. The
 whole text wins; its score is its posterior probability under equal priors.
 
 The trees are a classifier's fit: they learn from at most about TRAIN_BYTES bytes of whole texts per language (all labelled
-texts if there are fewer), picked by a hash of the id, whatever the order and number of rows.
+texts if there are fewer), picked by a hash of the id, whatever the order and number of rows. Every labelled language is learned, from
+one text at least; with more than 64 languages, each learns from an equal share of ALL_BYTES.
 
 Defined results: a null text or one without any letter is `und` with score 1; repeated rows are predicted alike; a null id
 counts as the id text '' when training rows are chosen; with no labelled row every text is `und`; an empty table gives an
@@ -28,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import columns, map_arrow, read_table, record_batch
 
 ORDER = 4
-#: Training bytes per language, and the most languages (the most frequent ones) that are learned.
-TRAIN_BYTES, MAX_LANGUAGES = 1_000_000, 64
+#: Training bytes per language, and of all languages together: with more than 64 languages each has a smaller share.
+TRAIN_BYTES, ALL_BYTES = 1_000_000, 64_000_000
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _CHUNK = 1 << 20
@@ -207,23 +208,23 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ContextTrees:
-    """Learn from labelled rows outside the held-out quarter; see TRAIN_BYTES for the bound."""
+    """Learn from labelled rows outside the held-out quarter; see TRAIN_BYTES and ALL_BYTES for the bounds."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES).collect()
-    shares = {r["lang"]: min(1.0, TRAIN_BYTES / max(1, r["size"])) for r in sizes}
-    if not shares:
-        return ContextTrees({})
     draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    share = F.element_at(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("lang"))
-    texts: dict[str, list[bytes]] = {lang: [] for lang in shares}
-    for r in rows.filter(F.col("lang").isin(list(shares)) & (draw < share)).select("lang", "text").toLocalIterator():
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"), F.min(draw).alias("least")).orderBy(F.desc("size"), "lang").collect()
+    if not sizes:
+        return ContextTrees({})
+    most = min(TRAIN_BYTES, ALL_BYTES // len(sizes))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, most / max(1, r["size"])), r["least"]) for r in sizes], "lang string, share double, least double")
+    texts: dict[str, list[bytes]] = {r["lang"]: [] for r in sizes}
+    for r in rows.join(F.broadcast(shares), "lang").filter((draw < F.col("share")) | (draw == F.col("least"))).select("lang", "text").toLocalIterator():
         texts[r["lang"]].append(r["text"].encode("utf-8", "surrogatepass"))
     return ContextTrees(texts)
 
 
 def identify(docs: DataFrame, trees: ContextTrees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, bits_per_byte of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by TRAIN_BYTES * MAX_LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by ALL_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in columns(batches, "id", "text"):

@@ -1,5 +1,6 @@
 import hashlib
 import unicodedata
+import zlib
 
 import numpy as np
 import pytest
@@ -153,3 +154,13 @@ def test_language_accuracy_and_awkward(spark):
     assert {r.lang_pred for r in got if r.doc_id in (3, 4, 10, 12)} == {"und"} and len(got) == 15
     assert identify(docs, fit(empty(spark))).filter("lang_pred <> 'und'").count() == 0
     assert identify(empty(spark), fit(docs)).count() == 0
+
+
+def test_every_labelled_language_is_learned(spark):
+    texts = [(100 * k + j, " ".join(f"{chr(0x4E00 + 40 * k + i)}" * 3 for i in range(12)), f"l{k:02}", "s") for k in range(80) for j in range(1 + k % 3)]
+    rows = documents(spark, texts)
+    learned = {r[2] for r in texts if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    trees = fit(rows)
+    assert len(learned) > 64 and set(trees.languages) == learned
+    got = {r.doc_id: r.lang_pred for r in identify(rows, trees).collect()}
+    assert all(got[i] == lang for i, _, lang, _ in texts if lang in learned)
