@@ -19,11 +19,11 @@ SELECT doc_id, concat('2024-0', CAST(1 + doc_id % 9 AS VARCHAR(2)), '-15__', com
            WHEN 6 THEN concat('We face competition from ', s_name, ' and from ', c_name, ' in the north region.', nl, 'We face competition from ', s_name, ' and from ', c_name, ' in the north regions.')
            ELSE 'Nothing more is to be said here about any of these matters at all.' END,
          nl, 'Our Customers', nl, 'We serve many segments.', nl, 'ITEM 1A. RISK FACTORS', nl, 'Risks are many.') AS text
-FROM (SELECT d.doc_id, left(d.text, 600) AS body, concat(chr(10), chr(10)) AS nl, s.s_name, c.c_name, p.p_name, 1000 + s.s_suppkey AS cik,
+FROM (SELECT d.doc_id, d.text AS body, concat(chr(10), chr(10)) AS nl, s.s_name, c.c_name, p.p_name, 1000 + s.s_suppkey AS cik,
         CASE d.doc_id % 5 WHEN 0 THEN concat('NORTH ', upper(p.p_brand), ' INC') WHEN 1 THEN concat('O', chr(39), 'REILLY ', upper(s.s_name)) WHEN 2 THEN concat('Index Fund of ', s.s_name)
           WHEN 3 THEN concat(s.s_name, ' Trust') ELSE concat('Acme ', c.c_name, ' Corp') END AS company
       FROM (SELECT doc_id, text, doc_id % (SELECT count(*) FROM supplier) AS sk, doc_id % (SELECT count(*) FROM customer) AS ck, doc_id % (SELECT count(*) FROM part) AS pk
-            FROM documents WHERE lang = 'en' AND text IS NOT NULL) d
+            FROM documents WHERE text IS NOT NULL) d
       JOIN supplier s ON s.s_suppkey = d.sk
       JOIN customer c ON c.c_custkey = d.ck
       JOIN part p ON p.p_partkey = d.pk)
@@ -31,7 +31,7 @@ FROM (SELECT d.doc_id, left(d.text, 600) AS body, concat(chr(10), chr(10)) AS nl
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, stem, company, cik, filing_year, text of every English document."""
+    """doc_id, stem, company, cik, filing_year, text of every document that has a text, whole and in any language."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "supplier", "customer", "part")}
     sql = SQL
     for name in tables:
