@@ -347,7 +347,7 @@ def q_anti_cleanup(spark, sf):
 
 @query
 def q_competition_only(spark, sf):
-    only = cleaning.competition_only(F.substring("text", F.when(F.col("doc_id") % 2 == 0, 18).otherwise(1), F.lit(1 << 20)))
+    only = cleaning.competition_only(F.expr("substring(text, CASE WHEN doc_id % 2 = 0 THEN 18 ELSE 1 END)"))
     f = filings(spark, sf).select("filing_year", only.alias("o"))
     return f.groupBy("filing_year").agg(F.count_if("o").alias("competition_only"), F.round(100 * F.count_if("o") / F.count("*"), 6).alias("share"))
 
