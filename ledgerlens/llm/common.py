@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: At most this many keys are broadcast by join_unique; a key counts as hot from one part in HOT_KEYS of all rows.
 HOT_KEYS = 1000
+#: Of staged tables: a task holds a row group in memory until it is whole.
+ROW_GROUP_BYTES = 32 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -45,7 +47,8 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    writer = df.write.option("parquet.block.size", ROW_GROUP_BYTES)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
