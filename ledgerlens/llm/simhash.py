@@ -7,10 +7,15 @@ in some table. Within a bucket no pairs are listed: each member stands for itsel
 and two members are within two bits exactly if they share such a centre. One link per member and centre, to the centre's
 smallest member, keeps all components whole at a cost linear in the bucket.
 
-near_groups serves cleaning: texts that share one of BANDS keys, each of the smallest hashes of the five-word shingles under
-BAND_ROWS functions, are grouped and then checked exactly for a similarity of 0.8 or more; of the texts that such links connect one
-stays. A pair of similarity 0.8 shares no key with a probability of (1 - 0.8^7)^80 = 7e-9, whatever the edit. near_copies is the
-older rule: it groups by fingerprints of distinct words within six bits and compares only with texts that stay.
+near_groups serves cleaning, at a similarity of 0.8 or more over five-word shingles. Candidates are those of the covering masks, over
+fingerprints of the distinct shingles within two bits, and texts that share one of BANDS keys, each of the smallest hashes of the
+shingles under BAND_ROWS functions: at a similarity of 0.8, 64 bits differ by about ten, more than any covering radius that
+a corpus can afford, while a pair of 0.8 shares no key with a probability of (1 - 0.8^9)^64 = 1e-4, whatever the edit. Candidates
+are grouped, and each group is checked exactly; of the texts that links of 0.8 or more connect one stays.
+
+A group of any size is checked in parts of PART_ROWS rows and PART_BYTES bytes: each part links its own texts, one text for each
+set of linked ones goes on to the next round, and in the end the texts outside the group's largest set are held, block by block, against
+all parts of the group. So no task gets a group whole, and no similar pair of a group is left out.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; a null id is a row of its own
 whose component_id is the smallest non-null id of its component (null if there is none); repeated rows give repeated results.
@@ -18,7 +23,7 @@ whose component_id is the smallest non-null id of its component (null if there i
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +34,17 @@ from .common import columns, join_unique, map_arrow, read_table, record_batch, s
 from .components import connected_components
 
 BITS, RADIUS, WORDS, SEED = 64, 2, 3, 42
-#: near_copies: bits between fingerprints of distinct words; words in a shingle; least similarity as a fraction.
-WIDE_RADIUS, COPY_WORDS, SIMILAR = 6, 5, (4, 5)
+#: near_groups: words in a shingle; least similarity as a fraction.
+COPY_WORDS, SIMILAR = 5, (4, 5)
 _SCHEMA = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
-#: near_groups: keys of a text, and functions whose smallest hashes make a key.
-BANDS, BAND_ROWS = 80, 7
-_BANDED = pa.schema([("id", pa.int64()), ("keys", pa.list_(pa.int64()))])
+#: near_groups: keys of a text, and functions whose smallest hashes make a key; keys that a worker knows before it starts afresh.
+BANDS, BAND_ROWS, KNOWN_KEYS = 64, 9, 200_000
+#: near_groups: rows and bytes of text of a group that one task takes.
+PART_ROWS, PART_BYTES = 128, 4 << 20
+_BANDED = pa.schema([("rid", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))])
 #: Bits of the filter that lets documents with near copies, and a few others, go on to the shuffle.
 _FILTER_BITS = 1 << 23
-_SETS = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_COPIES = pa.schema([("doc_id", pa.int64()), ("keep_id", pa.int64()), ("similarity", pa.float64())])
 #: Shingle hashes counted at once.
 _BLOCK = 1 << 14
 
@@ -58,7 +63,7 @@ def _shingles(text: str | None, words: int) -> list[int]:
     return [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist(), strict=True)]
 
 
-def _majority(hashes: list[int]) -> int:
+def _majority(hashes: list[int] | np.ndarray) -> int:
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), _BLOCK):
         block = np.array(hashes[at : at + _BLOCK], np.uint64)
@@ -78,26 +83,12 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield record_batch(_SCHEMA, ids, values)
 
 
-def word_fingerprint(text: str | None) -> int:
-    """Unsigned 64-bit fingerprint over the distinct words."""
-    return _majority(list(set(_shingles(text, 1))))
-
-
 def shingle_set(text: str | None) -> np.ndarray:
     """Signed hashes of the distinct five-word shingles; texts without a word share the one set of the empty sequence."""
     found = np.unique(np.array(_shingles(text, COPY_WORDS) or [xxhash.xxh64_intdigest(b"", SEED)], np.uint64))
     return found.view(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in columns(batches, "id", "text"):
-        found = texts.to_pylist()
-        fps = np.array([word_fingerprint(t) for t in found], np.uint64).view(np.int64)
-        sets = [shingle_set(t) for t in found]
-        ends = np.cumsum([0, *(x.size for x in sets)]).astype(np.int32)
-        yield record_batch(_SETS, ids, fps, pa.ListArray.from_arrays(ends, np.concatenate(sets)))
-
-
 def _odd(count: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << bits, count, np.dtype(f"uint{bits}"), endpoint=False) | np.dtype(f"uint{bits}").type(1)
 
@@ -117,20 +108,30 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in columns(batches, "id", "text"):
-        keys = np.concatenate([band_keys(shingle_set(t)) for t in texts.to_pylist()])
-        yield record_batch(_BANDED, ids, pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys))
+    """Fingerprint over distinct shingles, keys that are new to this worker, and the rows that first had the others.
+
+    So a key with a third of all rows reaches the shuffle once for KNOWN_KEYS keys, not once a row.
+    """
+    first: dict[int, int] = {}
+    for rids, texts in columns(batches, "rid", "text"):
+        fps, fresh, links = [], [], []
+        for rid, text in zip(rids.to_pylist(), texts.to_pylist(), strict=True):
+            if len(first) > KNOWN_KEYS:
+                first = {}
+            shingles = shingle_set(text)
+            keys = band_keys(shingles).tolist()
+            known = [first.setdefault(k, rid) for k in keys]
+            fps.append(_majority(shingles.view(np.uint64)))
+            fresh.append([k for k, r in zip(keys, known, strict=True) if r == rid])
+            links.append(list({*known} - {rid}))
+        yield record_batch(_BANDED, rids, np.array(fps, np.uint64).view(np.int64), fresh, links)
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
-    """The masks as signed 64-bit values, for a radius up to 6.
-
-    Bit i has code 1 + i mod (2^(r+1) - 1) while all codes occur; at radius 6 the codes are those with the top bit set, whose
-    masks keep 32 bits or all.
-    """
-    if not 0 <= radius <= 6:
-        raise ValueError("masks of 64 bits are balanced for a radius of 0 to 6")
-    codes = [1 + i % ((1 << radius + 1) - 1) if radius < 6 else 64 + i for i in range(BITS)]
+    """The masks as signed 64-bit values, for a radius up to 5. Bit i has code 1 + i mod (2^(r+1) - 1)."""
+    if not 0 <= radius <= 5:
+        raise ValueError("64 bits have all codes for a radius of 0 to 5")
+    codes = [1 + i % ((1 << radius + 1) - 1) for i in range(BITS)]
     masks = [sum(1 << i for i, c in enumerate(codes) if (c & v).bit_count() & 1) for v in range(1, 1 << radius + 1)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
@@ -161,93 +162,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return join_unique(rows, staged(named, "named"), "fp", "n").select(F.col("id").alias("doc_id"), "fp", "component_id")
 
 
-def spanning_links(fps: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
-    """Links that connect exactly what pairs of fps (unsigned) within the radius connect, one per fp at most.
-
-    Each fp reached is compared once with those not reached yet, so a dense bucket costs little more than its size.
-    """
-    rest = fps
-    while rest.size > 1:
-        reached, rest = [rest[0]], rest[1:]
-        while reached and rest.size:
-            x = reached.pop()
-            near = np.bitwise_count(rest ^ x) <= radius
-            if near.any():
-                found = rest[near]
-                rest = rest[~near]
-                reached.extend(found)
-                yield from ((int(x), int(y)) for y in found)
-
-
-def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches come sorted by key, a bucket's rows together; only the current bucket's fingerprints are held."""
-    out: set[tuple[int, int]] = set()
-    key, parts = None, []
-
-    def links() -> Iterable[tuple[int, int]]:
-        return spanning_links(np.concatenate(parts).view(np.uint64), WIDE_RADIUS) if parts else ()
-
-    def batch() -> pa.RecordBatch:
-        pairs = np.array(sorted(out), np.uint64).reshape(-1, 2).view(np.int64)
-        return record_batch(_LINKS, pairs[:, 0].copy(), pairs[:, 1].copy())
-
-    for keys, fps in columns(batches, "key", "fp"):
-        k, f = keys.to_numpy(), fps.to_numpy()
-        cuts = np.flatnonzero(np.diff(k)) + 1
-        for start, piece in zip([0, *cuts.tolist()], np.split(f, cuts), strict=True):
-            if k[start] != key:
-                out.update(links())
-                key, parts = k[start], []
-            parts.append(piece)
-        if len(out) > _BLOCK:
-            yield batch()
-            out = set()
-    out.update(links())
-    if out:
-        yield batch()
-
-
-def wide_links(fps: DataFrame) -> DataFrame:
-    """fps: distinct fp (long). Links a, b that connect exactly what pairs within WIDE_RADIUS bits connect."""
-    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(covering_masks(WIDE_RADIUS))])
-    bucket = Window.partitionBy("key").orderBy("fp")
-    tables = fps.select("fp", F.explode(keys).alias("key"))
-    crowded = tables.withColumn("before", F.lag("fp").over(bucket)).withColumn("after", F.lead("fp").over(bucket)).filter("before is not null or after is not null")
-    return map_arrow(crowded.select("key", "fp"), _bucket_links, "a long, b long").distinct()
-
-
-def _keep_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches come sorted by group and id. Holds the sets of the current group's kept documents, and yields those that go.
-
-    A document within reach of the threshold shares one of any |A| - ceil(0.8 |A|) + 1 of its shingles with the kept one;
-    those that the fewest kept documents have are looked up.
-    """
-    top, bottom = SIMILAR
-    group, kept, holders = None, [], {}
-    for roots, ids, sets in columns(batches, "root", "id", "shingles"):
-        gone = []
-        for root, i, found in zip(roots.to_pylist(), ids.to_pylist(), sets.to_pylist(), strict=True):
-            if root != group:
-                group, kept, holders = root, [], {}
-            own = set(found)
-            probes = sorted(own, key=lambda x: len(holders.get(x, ())))[: len(own) - -(-top * len(own) // bottom) + 1]
-            near = None
-            for at in sorted({n for x in probes for n in holders.get(x, ())}):
-                shared = len(own & kept[at][1])
-                union = len(own) + len(kept[at][1]) - shared
-                if bottom * shared >= top * union:
-                    near = (i, kept[at][0], shared / union)
-                    break
-            if near is None:
-                for x in own:
-                    holders.setdefault(x, []).append(len(kept))
-                kept.append((i, own))
-            elif near[0] != near[1]:
-                gone.append(near)
-        if gone:
-            yield record_batch(_COPIES, *zip(*gone, strict=True))
-
-
 def similar_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
     """Links (positions in sets) that connect exactly what pairs of similarity SIMILAR or more connect, one per set at most.
 
@@ -292,45 +206,120 @@ def similar_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
             yield from ((x, y) for y in near.tolist())
 
 
-def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches come sorted by group and id. Holds the sets of the current group and yields links between ids."""
-    group, ids, sets = None, [], []
+def _linked(names: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    pairs = [(names[x], names[y]) for x, y in similar_links(sets)] if len(sets) > 1 else []
+    if pairs:
+        yield record_batch(_LINKS, *map(list, zip(*pairs, strict=True)))
+
+
+def _part_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches come sorted by group and part. Holds the sets of the current part and yields links between rows."""
+    now, names, sets = None, [], []
+    for roots, parts, rids, texts in columns(batches, "root", "part", "rid", "text"):
+        for *place, rid, text in zip(roots.to_pylist(), parts.to_pylist(), rids.to_pylist(), texts, strict=True):
+            if place != now:
+                yield from _linked(names, sets)
+                now, names, sets = place, [], []
+            names.append(rid)
+            sets.append(shingle_set(text.as_py()))
+    yield from _linked(names, sets)
+
+
+def numbered(docs: DataFrame, name: str = "rid") -> DataFrame:
+    """docs with a number of each row, staged: rows that repeat an id, or have none, are told apart by it."""
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
+def _parts(members: DataFrame) -> DataFrame:
+    """members (rid, root, size) with the part of each row, of as many as its group needs; the groups' sums are made by partial aggregates."""
+    sums = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    wanted = sums.select("root", "n", F.ceil(F.greatest(F.col("n") / PART_ROWS, F.col("bytes") / PART_BYTES)).alias("parts"))
+    return join_unique(members, staged(wanted, "parts"), "root", "n").select("rid", "root", "size", "parts", F.pmod(F.xxhash64("rid"), F.col("parts")).alias("part"))
 
-    def batch() -> Iterator[pa.RecordBatch]:
-        pairs = [(ids[x], ids[y]) for x, y in similar_links(sets)] if len(sets) > 1 else []
-        if pairs:
-            yield record_batch(_LINKS, *map(list, zip(*pairs, strict=True)))
 
-    for roots, found, texts in columns(batches, "root", "id", "text"):
-        for root, i, text in zip(roots.to_pylist(), found.to_pylist(), texts.to_pylist(), strict=True):
-            if root != group:
-                yield from batch()
-                group, ids, sets = root, [], []
-            ids.append(i)
-            sets.append(shingle_set(text))
-    yield from batch()
+def _components(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members (rid, root, ...) with comp, the smallest row that the links connect it with."""
+    found = connected_components(links).select(F.col("node").alias("rid"), F.col("root").alias("reached"))
+    return staged(members.join(found, "rid", "left").select(*members.columns, F.coalesce("reached", "rid").alias("comp")), "components")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents to drop: doc_id, keep_id, one row per id that goes.
+def _checked(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links within each root and part of rows (root, part, rid), staged."""
+    with_text = rows.select("root", "part", "rid").join(texts, "rid").repartition("root", "part").sortWithinPartitions("root", "part", "rid")
+    return staged(map_arrow(with_text.select("root", "part", "rid", "text"), _part_links, "a long, b long"), "links")
+
+
+def similar_groups(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) that connect exactly what pairs of similarity SIMILAR or more within a group connect.
+
+    texts: rid, text; members: rid, root, size of the rows to compare, root naming the group.
+    """
+    dealt = staged(_parts(members), "dealt")
+    links = _checked(texts, dealt)
+    split = dealt.filter("parts > 1")
+    if split.isEmpty():
+        return links
+    inner = links.join(split.select(F.col("rid").alias("a")), "a", "left_semi").select("a", "b")  # links of groups in parts
+    rest, left = split, split.count()
+    while left:  # what the parts' links don't connect, one row of each set, until it fits one part or shrinks no more
+        rest = staged(_parts(_components(rest.select("rid", "root", "size"), inner).filter("rid = comp").select("rid", "root", "size")), "dealt")
+        inner = staged(inner.unionByName(_checked(texts, rest)), "links")
+        rest = rest.filter("parts > 1")
+        before, left = left, rest.count()
+        if 2 * left > before:
+            break
+    comps = _components(split, inner)
+    sets = comps.groupBy("root", "comp").agg(F.count("*").alias("k"))
+    largest = sets.groupBy("root").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("n"))
+    marked = staged(join_unique(comps, staged(largest, "largest"), "root", "n"), "marked")
+    links = links.unionByName(inner)
+    strays = marked.filter("comp <> main")
+    return links if strays.isEmpty() else links.unionByName(_checked(texts, _met(marked, strays)))
+
+
+def _met(marked: DataFrame, strays: DataFrame) -> DataFrame:
+    """root, part, rid: each part of a group with each block of the group's strays."""
+    blocks = staged(_parts(strays.select("rid", "root", "size")), "blocks").select("rid", "root", F.col("parts").alias("blocks"), F.col("part").alias("block"))
+    sizes = marked.groupBy("root").agg(F.count("*").alias("rows"), F.max("parts").alias("width"))
+    per_root = staged(sizes.join(blocks.groupBy("root").agg(F.max("blocks").alias("height")), "root"), "sizes")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+    own = join_unique(marked.select("rid", "root", "part"), per_root, "root", "rows").select("root", "rid", "part", every("height").alias("block"))
+    sent = join_unique(blocks.select("rid", "root", "block"), per_root, "root", "rows").select("root", "rid", every("width").alias("part"), "block")
+    return own.unionByName(sent).select("root", F.concat_ws(":", "part", "block").alias("part"), "rid").distinct()
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """Documents to drop: rid (row_col, the rows' own numbers, if they have any), doc_id, keep_id; one row per row that goes.
 
     Documents whose five-word shingles are 0.8 or more similar are linked; of each set of documents that links connect, also over
-    documents that go, the smallest id stays as keep_id. Rows without an id stay; rows that repeat an id are one document.
+    documents that go, the one with the smallest id stays as keep_id. Null ids come last; rows that repeat an id are told apart.
     """
-    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    banded = map_arrow(texts, _banded, "id long, keys array<long>")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *([F.col(row_col).alias("rid")] if row_col else []))
+    rows = rows if row_col else numbered(rows)
+    texts = rows.select("rid", "text")
+    banded = staged(map_arrow(texts, _banded, "rid long, fp long, keys array<long>, links array<long>"), "banded")
+    alike = banded.groupBy("fp").agg(F.min("rid").alias("low"), F.count("*").alias("n"))
+    alike = staged(alike, "distinct")
+    by_mask = near_links(alike.select("fp"))
+    lows = alike.select("fp", "low")
+    covered = by_mask.join(lows.select(F.col("fp").alias("a"), F.col("low").alias("x")), "a").join(lows.select(F.col("fp").alias("b"), F.col("low").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    same = join_unique(banded.select("rid", "fp"), alike.filter("n > 1"), "fp", "n").select(F.col("low").alias("a"), F.col("rid").alias("b"))
     bucket = Window.partitionBy("key").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stars = banded.select(F.col("id").alias("b"), F.explode("keys").alias("key")).select(F.first("b").over(bucket).alias("a"), "b").filter("a <> b").distinct()
-    roots = staged(connected_components(stars), "roots")
-    roots = staged(roots.union(roots.select("root", "root").distinct()).select(F.col("node").alias("id"), "root"), "members")
-    grouped = _members(texts, roots).join(roots, "id").select("root", "id", "text")
-    links = map_arrow(grouped.repartition("root").sortWithinPartitions("root", "id"), _group_links, "a long, b long")
-    return connected_components(links).select(F.col("node").alias("doc_id"), F.col("root").alias("keep_id"))
+    stars = banded.select(F.col("rid").alias("b"), F.explode("keys").alias("key")).select(F.first("b").over(bucket).alias("a"), "b")
+    seen = banded.select(F.explode("links").alias("a"), F.col("rid").alias("b"))
+    roots = staged(connected_components(covered.unionByName(same).unionByName(stars).unionByName(seen).filter("a <> b").distinct()), "roots")
+    groups = staged(roots.union(roots.select("root", "root").distinct()).select(F.col("node").alias("rid"), "root"), "groups")
+    held = staged(_members(texts, groups).join(groups, "rid"), "held")
+    links = similar_groups(held.select("rid", "text"), held.select("rid", "root", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("size")))
+    found = staged(connected_components(links), "found")
+    sets = staged(found.union(found.select("root", "root").distinct()).select(F.col("node").alias("rid"), "root").join(rows.select("rid", "id"), "rid"), "sets")
+    first = sets.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("keep"), F.count("*").alias("n"))
+    return join_unique(sets, staged(first, "first"), "root", "n").filter("rid <> keep.rid").select("rid", F.col("id").alias("doc_id"), F.col("keep.id").alias("keep_id"))
 
 
 def _members(texts: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of texts whose id is in roots, and a few others: a bitmap of hashed ids spares the shuffle most other texts."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(_FILTER_BITS)) + 1
+    """The rows of texts whose rid is in roots, and a few others: a bitmap of hashed numbers spares the shuffle most other texts."""
+    slot = F.pmod(F.xxhash64("rid"), F.lit(_FILTER_BITS)) + 1
     bits = np.zeros(_FILTER_BITS, bool)
     width = 1 << 15  # of Spark's bitmaps
     for r in roots.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect():
@@ -341,27 +330,9 @@ def _members(texts: DataFrame, roots: DataFrame) -> DataFrame:
         held = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             if batch.num_rows:
-                yield batch.select(["id", "text"]).filter(pa.array(held[batch.column(2).to_numpy() - 1]))
+                yield batch.select(["rid", "text"]).filter(pa.array(held[batch.column(2).to_numpy() - 1]))
 
-    return map_arrow(texts.select("id", "text", slot.alias("slot")), run, "id long, text string")
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents to drop: doc_id, keep_id, similarity, one row per row that goes.
-
-    Fingerprints of distinct words within six bits group documents. In each group, by ascending id, a document stays unless its
-    five-word shingles are 0.8 or more similar to those of one that stays; keep_id is the smallest such id. So of no pair that
-    is grouped and similar do both stay, and each document that goes has a similar one that stays. A group is a stream, in
-    which only kept documents' shingles are held. Rows without an id stay; rows that repeat an id share its fate.
-    """
-    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = staged(map_arrow(texts, _sets, "id long, fp long, shingles array<long>"), "sets")
-    fps = staged(rows.groupBy("fp").agg(F.count("*").alias("n")), "distinct")
-    roots = staged(connected_components(wide_links(fps.select("fp"))), "roots")
-    roots = roots.union(roots.select("root", "root").distinct())
-    known = staged(fps.join(roots, fps["fp"] == roots["node"], "left").filter("n > 1 or node is not null").select("fp", "n", F.coalesce("root", "fp").alias("root")), "known")
-    grouped = join_unique(rows, known, "fp", "n")
-    return map_arrow(grouped.select("root", "id", "shingles").repartition("root").sortWithinPartitions("root", "id"), _keep_first, "doc_id long, keep_id long, similarity double")
+    return map_arrow(texts.select("rid", "text", slot.alias("slot")), run, "rid long, text string")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,13 @@ import hashlib
 from collections import defaultdict
 from itertools import combinations
 
-import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
+from ledgerlens.llm import simhash
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.exact_dedup import exact_duplicates
-from ledgerlens.llm.simhash import covering_masks, fingerprint, near_copies, near_duplicates, near_groups, near_links, op7_simhash, spanning_links, wide_links
+from ledgerlens.llm.simhash import covering_masks, fingerprint, near_duplicates, near_groups, near_links, op7_simhash
 
 from .cases import documents, empty
 
@@ -115,11 +116,6 @@ def words_of(text):
     return [w for w in lower(text).translate({c: " " for c in range(9, 14)}).split(" ") if w]
 
 
-def word_print(text):
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(words_of(text))]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def likeness(a, b):
     a, b = words_of(a), words_of(b)
     x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a, b))
@@ -127,15 +123,18 @@ def likeness(a, b):
 
 
 def first_of_copies(texts):
-    """Ids that stay, by the definition of near_copies."""
-    prints = {i: word_print(t) for i, t in texts.items()}
-    root = components_of(texts, [(a, b) for a, b in combinations(sorted(texts), 2) if (prints[a] ^ prints[b]).bit_count() <= 6])
-    groups, kept = defaultdict(list), []
-    for i in sorted(texts):
-        if all(likeness(texts[i], texts[k]) < 0.8 for k in groups[root[i]]):
-            groups[root[i]].append(i)
-            kept.append(i)
-    return kept
+    """Ids that stay: the smallest of each set that pairs of similarity 0.8 or more connect."""
+    sets = {}
+    for i, t in texts.items():
+        w = words_of(t)
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    holders = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            holders[x].append(i)
+    pairs = {(a, b) for h in holders.values() for a, b in combinations(sorted(h), 2)}
+    root = components_of(texts, [(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])])
+    return sorted(i for i, r in root.items() if i == r)
 
 
 def edited(rng, words, count):
@@ -145,60 +144,6 @@ def edited(rng, words, count):
     return " ".join(words)
 
 
-def test_near_copies_against_brute_force(spark):
-    import random
-
-    rng = random.Random(3)
-    texts, planted = {}, []
-    for n in range(40):
-        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice((8, 90, 300)))]
-        texts[n * 10] = " ".join(words)
-        for k in range(1, 4):
-            texts[n * 10 + k] = edited(rng, words, max(1, len(words) // rng.choice((20, 60, 150))))
-    crowd = [f"c{rng.randrange(500)}" for _ in range(120)]
-    texts |= {1000 + k: edited(rng, crowd, rng.choice((1, 2, 5))) for k in range(300)}
-    texts |= {2000: "", 2001: None, 2002: " \t", 2003: "word", 2004: "WORD"}
-    got = near_copies(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]).repartition(5)).collect()
-    kept = first_of_copies(texts)
-    assert sorted(r.doc_id for r in got) == sorted(set(texts) - set(kept)) and {2001, 2002, 2004} <= {r.doc_id for r in got}
-    for r in got:
-        assert r.keep_id in kept and r.keep_id < r.doc_id and abs(r.similarity - likeness(texts[r.doc_id], texts[r.keep_id])) < 1e-12 and r.similarity >= 0.8
-    pairs = [(a, b) for n in range(40) for a, b in combinations(range(n * 10, n * 10 + 4), 2) if likeness(texts[a], texts[b]) >= 0.8]
-    close = [(a, b) for a, b in pairs if (word_print(texts[a]) ^ word_print(texts[b])).bit_count() <= 6]
-    assert len(close) >= 0.9 * len(pairs) and not any(a in kept and b in kept for a, b in close)
-
-
-def test_near_copies_awkward(spark):
-    got = {r.doc_id for r in near_copies(documents(spark)).collect()}
-    assert got == {2, 4, 8, 9, 12}
-    assert near_copies(empty(spark)).count() == 0
-    assert near_copies(documents(spark, [(None, "a b", "en", "s")] * 3)).count() == 0
-
-
-def test_wide_masks_cover_and_links_are_exact(spark):
-    import random
-
-    rng = random.Random(8)
-    masks = covering_masks(6)
-    kept = [(m & (1 << 64) - 1).bit_count() for m in masks]
-    assert len(masks) == 127 and min(kept) == 32
-    for _ in range(3000):
-        change = sum(1 << b for b in rng.sample(range(64), 6))
-        assert any(not m & change for m in masks)
-    points = {rng.getrandbits(64) for _ in range(20)}
-    for x in list(points):
-        for _ in range(20):
-            points.add(x ^ sum(1 << b for b in rng.sample(range(64), rng.choice((1, 4, 6, 7, 9)))))
-    signed = {p: p - (1 << 64) if p >> 63 else p for p in points}
-    want = components_of(sorted(signed.values()), [(signed[a], signed[b]) for a, b in combinations(points, 2) if (a ^ b).bit_count() <= 6])
-    links = wide_links(spark.createDataFrame([(v,) for v in signed.values()], "fp long"))
-    assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= 6 for r in links.collect())
-    got = {r.node: r.root for r in connected_components(links).collect()}
-    assert got == {n: r for n, r in want.items() if n in got} and all(n == r for n, r in want.items() if n not in got)
-    dense = np.arange(64, dtype=np.uint64)
-    assert len(list(spanning_links(dense, 6))) == 63
-
-
 def test_near_groups_keep_one_of_each(spark):
     import random
 
@@ -211,12 +156,34 @@ def test_near_groups_keep_one_of_each(spark):
     texts |= {5000: "", 5001: None, 5002: " \t", 5003: "word", 5004: "WORD", 5005: "alone"}
     want = components_of(sorted(texts), [(a, b) for a, b in combinations(sorted(texts), 2) if likeness(texts[a], texts[b]) >= 0.8])
     got = near_groups(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]).repartition(5)).collect()
-    assert sorted(map(tuple, got)) == sorted((i, r) for i, r in want.items() if i != r)
+    assert sorted((r.doc_id, r.keep_id) for r in got) == sorted((i, r) for i, r in want.items() if i != r)
     assert len(got) == 3 * 100 + 3
     assert near_groups(empty(spark)).count() == 0
-    assert near_groups(documents(spark, [(None, "a b", "en", "s")] * 3)).count() == 0
-    repeated = [(1, "a b c", "en", "s"), (2, "a b c", "en", "s"), (2, "d e f", "en", "s"), (3, "d e f", "en", "s")]
-    assert sorted(map(tuple, near_groups(documents(spark, repeated)).collect())) == [(2, 1), (3, 1)]
+    repeated = [(1, "a b c", "en", "s"), (2, "a b c", "en", "s"), (2, "d e f", "en", "s"), (3, "d e f", "en", "s"), (3, "g h i", "en", "s"), (None, "A b c", "en", "s"), (None, "j", "en", "s"), (None, "J", "en", "s")]
+    got = near_groups(documents(spark, repeated)).collect()
+    assert sorted((r.doc_id or 0, r.keep_id or 0) for r in got) == [(0, 0), (0, 1), (2, 1), (3, 2)] and len({r.rid for r in got}) == 4
+
+
+def test_near_groups_in_parts(spark, monkeypatch):
+    """Groups far larger than a part, with sets that only the meeting of strays and parts can tell apart or connect."""
+    import random
+
+    monkeypatch.setattr(simhash, "PART_ROWS", 6)
+    rng = random.Random(9)
+    texts, base = {}, [f"w{k}" for k in range(150)]
+    for k in range(60):
+        texts[k] = edited(rng, base, rng.choice((1, 2, 6, 9)))
+    chain = list(base)
+    for k in range(40):  # each step similar to the one before it, the ends are not
+        chain[3 * k : 3 * k + 2] = [f"c{k}", f"d{k}"]
+        texts[100 + k] = " ".join(chain)
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    want = first_of_copies(texts)
+    members = docs.select(F.col("doc_id").alias("rid"), F.lit(0).cast("long").alias("root"), F.length("text").cast("long").alias("size"))
+    links = simhash.similar_groups(docs.select(F.col("doc_id").alias("rid"), "text"), members).collect()
+    assert all(likeness(texts[r.a], texts[r.b]) >= 0.8 for r in links)
+    root = components_of(sorted(texts), [(r.a, r.b) for r in links])
+    assert sorted(i for i, r in root.items() if i == r) == want and len(want) > 3
 
 
 def test_near_groups_after_added_and_lost_passages(spark):
@@ -231,6 +198,6 @@ def test_near_groups_after_added_and_lost_passages(spark):
         texts[2 * n] = " ".join(words)
         texts[2 * n + 1] = " ".join([words + draw(size // 10), words + draw(size // 5), words[: -size // 10], words[size // 7 :], words[: size // 2] + draw(size // 10) + words[size // 2 :], draw(size // 6) + words][n % 6])
     alike = {n for n in range(120) if likeness(texts[2 * n], texts[2 * n + 1]) >= 0.8}
-    assert len(alike) > 100 and sum((word_print(texts[2 * n]) ^ word_print(texts[2 * n + 1])).bit_count() > 6 for n in alike) > 20
+    assert len(alike) > 100
     got = near_groups(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]).repartition(5)).collect()
-    assert sorted(map(tuple, got)) == sorted((2 * n + 1, 2 * n) for n in alike)
+    assert sorted((r.doc_id, r.keep_id) for r in got) == sorted((2 * n + 1, 2 * n) for n in alike)
