@@ -7,8 +7,8 @@ in some table. Within a bucket no pairs are listed: each member stands for itsel
 and two members are within two bits exactly if they share such a centre. One link per member and centre, to the centre's
 smallest member, keeps all components whole at a cost linear in the bucket.
 
-near_groups serves cleaning, at a similarity of 0.8 or more over five-word shingles. Candidates are those of the covering masks, over
-fingerprints of the distinct shingles within two bits, and texts that share one of BANDS keys, each of the smallest hashes of the
+near_groups serves cleaning, at a similarity of 0.8 or more over five-word shingles. Candidates are texts that share a value under one
+of the covering masks, of fingerprints over the distinct shingles, or one of BANDS keys, each of the smallest hashes of the
 shingles under BAND_ROWS functions: at a similarity of 0.8, 64 bits differ by about ten, more than any covering radius that
 a corpus can afford, while a pair of 0.8 shares no key with a probability of (1 - 0.8^9)^64 = 1e-4, whatever the edit. Candidates
 are grouped, and each group is checked exactly; of the texts that links of 0.8 or more connect one stays.
@@ -41,7 +41,7 @@ _SCHEMA = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
 BANDS, BAND_ROWS, KNOWN_KEYS = 64, 9, 200_000
 #: near_groups: rows and bytes of text of a group that one task takes.
 PART_ROWS, PART_BYTES = 128, 4 << 20
-_BANDED = pa.schema([("rid", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))])
+_BANDED = pa.schema([("rid", pa.int64()), ("keys", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))])
 #: Bits of the filter that lets documents with near copies, and a few others, go on to the shuffle.
 _FILTER_BITS = 1 << 23
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -107,33 +107,39 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return ((keys ^ keys >> np.uint64(29)) * _MIX[:, 0]).view(np.int64)
 
 
+def covering_masks(radius: int = RADIUS) -> list[int]:
+    """The masks as signed 64-bit values, for a radius up to 5. Bit i has code 1 + i mod (2^(r+1) - 1)."""
+    if not 0 <= radius <= 5:
+        raise ValueError("64 bits have all codes for a radius of 0 to 5")
+    codes = [1 + i % ((1 << radius + 1) - 1) for i in range(BITS)]
+    masks = [sum(1 << i for i, c in enumerate(codes) if (c & v).bit_count() & 1) for v in range(1, 1 << radius + 1)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def mask_keys(print_: int) -> np.ndarray:
+    """Signed keys of a fingerprint, one for each covering mask: equal if the masked values are."""
+    masks = np.array(covering_masks(), np.int64).view(np.uint64)
+    values = (np.uint64(print_) & masks) * _MIX[0, 0] + np.arange(1, len(masks) + 1, dtype=np.uint64) * _MIX[0, 1]
+    return ((values ^ values >> np.uint64(31)) * _MIX[0, 2]).view(np.int64)
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprint over distinct shingles, keys that are new to this worker, and the rows that first had the others.
+    """Keys that are new to this worker, and the rows that first had the others.
 
     So a key with a third of all rows reaches the shuffle once for KNOWN_KEYS keys, not once a row.
     """
     first: dict[int, int] = {}
     for rids, texts in columns(batches, "rid", "text"):
-        fps, fresh, links = [], [], []
-        for rid, text in zip(rids.to_pylist(), texts.to_pylist(), strict=True):
+        fresh, links = [], []
+        for rid, text in zip(rids.to_pylist(), texts, strict=True):
             if len(first) > KNOWN_KEYS:
                 first = {}
-            shingles = shingle_set(text)
-            keys = band_keys(shingles).tolist()
+            shingles = shingle_set(text.as_py())
+            keys = [*mask_keys(_majority(shingles.view(np.uint64))).tolist(), *band_keys(shingles).tolist()]
             known = [first.setdefault(k, rid) for k in keys]
-            fps.append(_majority(shingles.view(np.uint64)))
             fresh.append([k for k, r in zip(keys, known, strict=True) if r == rid])
             links.append(list({*known} - {rid}))
-        yield record_batch(_BANDED, rids, np.array(fps, np.uint64).view(np.int64), fresh, links)
-
-
-def covering_masks(radius: int = RADIUS) -> list[int]:
-    """The masks as signed 64-bit values, for a radius up to 5. Bit i has code 1 + i mod (2^(r+1) - 1)."""
-    if not 0 <= radius <= 5:
-        raise ValueError("64 bits have all codes for a radius of 0 to 5")
-    codes = [1 + i % ((1 << radius + 1) - 1) for i in range(BITS)]
-    masks = [sum(1 << i for i, c in enumerate(codes) if (c & v).bit_count() & 1) for v in range(1, 1 << radius + 1)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+        yield record_batch(_BANDED, rids, fresh, links)
 
 
 def near_links(fps: DataFrame) -> DataFrame:
@@ -297,17 +303,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *([F.col(row_col).alias("rid")] if row_col else []))
     rows = rows if row_col else numbered(rows)
     texts = rows.select("rid", "text")
-    banded = staged(map_arrow(texts, _banded, "rid long, fp long, keys array<long>, links array<long>"), "banded")
-    alike = banded.groupBy("fp").agg(F.min("rid").alias("low"), F.count("*").alias("n"))
-    alike = staged(alike, "distinct")
-    by_mask = near_links(alike.select("fp"))
-    lows = alike.select("fp", "low")
-    covered = by_mask.join(lows.select(F.col("fp").alias("a"), F.col("low").alias("x")), "a").join(lows.select(F.col("fp").alias("b"), F.col("low").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    same = join_unique(banded.select("rid", "fp"), alike.filter("n > 1"), "fp", "n").select(F.col("low").alias("a"), F.col("rid").alias("b"))
+    banded = staged(map_arrow(texts, _banded, "rid long, keys array<long>, links array<long>"), "banded")
     bucket = Window.partitionBy("key").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stars = banded.select(F.col("rid").alias("b"), F.explode("keys").alias("key")).select(F.first("b").over(bucket).alias("a"), "b")
     seen = banded.select(F.explode("links").alias("a"), F.col("rid").alias("b"))
-    roots = staged(connected_components(covered.unionByName(same).unionByName(stars).unionByName(seen).filter("a <> b").distinct()), "roots")
+    roots = staged(connected_components(stars.unionByName(seen).filter("a <> b").distinct()), "roots")
     groups = staged(roots.union(roots.select("root", "root").distinct()).select(F.col("node").alias("rid"), "root"), "groups")
     held = staged(_members(texts, groups).join(groups, "rid"), "held")
     links = similar_groups(held.select("rid", "text"), held.select("rid", "root", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("size")))

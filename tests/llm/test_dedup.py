@@ -122,19 +122,21 @@ def likeness(a, b):
     return len(x & y) / len(x | y)
 
 
-def first_of_copies(texts):
-    """Ids that stay: the smallest of each set that pairs of similarity 0.8 or more connect."""
-    sets = {}
+def copies_of(texts):
+    """Smallest id of each id's set, of the sets that pairs of similarity 0.8 or more connect."""
+    sets, holders = {}, defaultdict(list)
     for i, t in texts.items():
         w = words_of(t)
         sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
-    holders = defaultdict(list)
-    for i, s in sets.items():
-        for x in s:
+        for x in sets[i]:
             holders[x].append(i)
     pairs = {(a, b) for h in holders.values() for a, b in combinations(sorted(h), 2)}
-    root = components_of(texts, [(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])])
-    return sorted(i for i, r in root.items() if i == r)
+    return components_of(texts, [(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])])
+
+
+def first_of_copies(texts):
+    """Ids that stay."""
+    return sorted(i for i, r in copies_of(texts).items() if i == r)
 
 
 def edited(rng, words, count):
@@ -154,7 +156,7 @@ def test_near_groups_keep_one_of_each(spark):
         texts |= {n * 1000 + k: edited(rng, words, 4) for k in range(100)}
         texts[n * 1000 + 500] = " ".join(words)
     texts |= {5000: "", 5001: None, 5002: " \t", 5003: "word", 5004: "WORD", 5005: "alone"}
-    want = components_of(sorted(texts), [(a, b) for a, b in combinations(sorted(texts), 2) if likeness(texts[a], texts[b]) >= 0.8])
+    want = copies_of(texts)
     got = near_groups(documents(spark, [(i, t, "en", "s") for i, t in texts.items()]).repartition(5)).collect()
     assert sorted((r.doc_id, r.keep_id) for r in got) == sorted((i, r) for i, r in want.items() if i != r)
     assert len(got) == 3 * 100 + 3
