@@ -94,6 +94,8 @@ class PairIndexBpe:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         lengths = np.array([len(r) for r in raw], np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
+        if not len(data):  # nothing but added tokens, say
+            return np.zeros(0, np.int64), np.zeros(len(words) + 1, np.int64)
         owner = np.repeat(np.arange(len(words)), lengths)
         last = np.cumsum(lengths) - 1
         ids = self.inner[data]

@@ -5,8 +5,9 @@ Its digest is the 128-bit xxhash of the canonical UTF-8 bytes. Texts with equal
 canonical bytes are compared, and a form that differs from the bucket's first (by bytes) gets a suffix with its number, so
 that fingerprints are equal exactly if canonical forms are.
 
-Only rows of crowded buckets send their texts to the comparison: a bitmap of fixed size, built by partial aggregates, tells
-the rest apart before the shuffle (at most BITMAP_BITS bits; a full bitmap costs time, never a row). Copies fold to one row
+Only rows of crowded buckets send their texts to the comparison: a bitmap, built by partial aggregates, tells the rest apart before
+the shuffle (16 bits for a crowded bucket, MOST_BITS at most; a full bitmap costs time, never a row). Forms that share their digests
+are shipped to the workers up to MAX_SHIPPED, beyond that they are joined to the rows. Copies fold to one row
 per batch and then per digest; the comparison runs over rows sorted by digest and bytes, as a stream, so it holds two forms
 at a time however large a bucket is.
 
@@ -29,10 +30,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import columns, map_arrow, read_table, record_batch, staged
 
-BITMAP_BITS = 1 << 24
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 #: Rows that one range of the next-document pass should hold, and the most ranges.
 ROWS_PER_RANGE, MAX_RANGES = 4000, 1 << 16
-#: Differing forms of one digest are joined rather than shipped to all workers beyond this number.
+#: Forms that share their digest with another are joined rather than shipped to all workers beyond this number.
 MAX_SHIPPED = 10_000
 _FIRST = -(1 << 63)
 
@@ -58,10 +59,6 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield record_batch(_DIGESTS, ids, [digest(canonical(t)) for t in texts.to_pylist()])
 
 
-def _position(hexadecimal: str) -> int:
-    return int(hexadecimal[:8], 16) % BITMAP_BITS
-
-
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by digest and form: neighbours are compared in full. One row for each form but a bucket's first."""
     unpack = zstandard.ZstdDecompressor()
@@ -82,10 +79,11 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def collisions(texts: DataFrame, digests: DataFrame) -> DataFrame:
     """digest, sha and variant of each canonical form that shares its digest with a smaller, different form."""
     spark = texts.sparkSession
-    position = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % BITMAP_BITS
-    crowded = digests.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select(position.alias("p"))
+    crowded = staged(digests.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "crowded")
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * crowded.count()).bit_length()))
+    crowded = crowded.select((F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % size).alias("p"))
     parts = crowded.groupBy((F.col("p") / 32768).cast("long").alias("part")).agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("bits")).collect()
-    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
+    bitmap = np.zeros(size // 8, np.uint8)
     for r in parts:
         bits = np.frombuffer(bytes(r["bits"]), np.uint8)
         bitmap[r["part"] * 4096 : r["part"] * 4096 + len(bits)] = bits
@@ -97,7 +95,7 @@ def collisions(texts: DataFrame, digests: DataFrame) -> DataFrame:
             found = {}
             for t in column.to_pylist():
                 form = canonical(t)
-                p = _position(d := digest(form))
+                p = int((d := digest(form))[:8], 16) % size
                 if shared.value[p >> 3] >> (p & 7) & 1:
                     found[d, form] = None
             if found:
@@ -109,22 +107,42 @@ def collisions(texts: DataFrame, digests: DataFrame) -> DataFrame:
 
 
 class Names:
-    """Fingerprint of a canonical form: its digest, with a suffix if another form has the digest too."""
+    """Fingerprint of a canonical form: its digest, with a suffix if another form has the digest too.
+
+    known is None where the suffixes are to be joined: then the name holds the form's digest by SHA-256 until `resolved`.
+    """
 
-    def __init__(self, variants: DataFrame) -> None:
-        rows = variants.limit(MAX_SHIPPED + 1).collect()
-        if len(rows) > MAX_SHIPPED:
-            raise ValueError(f"over {MAX_SHIPPED} forms share their 128-bit digests with others: these texts were made to collide")
-        self.known = {(r["digest"], r["sha"]): r["variant"] for r in rows}
-        self.crowded = {d for d, _ in self.known}
+    def __init__(self, known: dict[tuple[str, str], int] | None) -> None:
+        self.known = known
+        self.crowded = {d for d, _ in known or ()}
 
     def of(self, form: bytes, known_digest: str | None = None) -> str:
         d = known_digest or digest(form)
+        if self.known is None:
+            return f"{d}:{hashlib.sha256(form).hexdigest()}"
         if d in self.crowded and (v := self.known.get((d, hashlib.sha256(form).hexdigest()))):
             return f"{d}-{v}"
         return d
 
 
+def named(variants: DataFrame) -> tuple[Names, DataFrame]:
+    """variants as collisions() gives them, staged too: the names for workers, and what resolved() needs."""
+    variants = staged(variants, "variants")
+    if variants.count() > MAX_SHIPPED:
+        return Names(None), variants
+    return Names({(r["digest"], r["sha"]): r["variant"] for r in variants.collect()}), variants
+
+
+def resolved(rows: DataFrame, names: Names, variants: DataFrame, *columns: str) -> DataFrame:
+    """rows with whole fingerprints in the columns."""
+    if names.known is not None:
+        return rows
+    for c in columns:
+        suffix = variants.select(F.concat("digest", F.lit(":"), "sha").alias(c), "variant")
+        rows = rows.join(suffix, c, "left").withColumn(c, F.concat(F.substring(c, 1, 32), F.coalesce(F.concat(F.lit("-"), F.col("variant").cast("string")), F.lit("")))).drop("variant")
+    return rows
+
+
 def _ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
@@ -132,23 +150,23 @@ def _ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and fingerprint of every row."""
     texts = _ids(docs, id_col, text_col)
-    names = Names(collisions(texts, staged(map_arrow(texts, _digests, "id long, digest string"), "digests")))
+    names, variants = named(collisions(texts, staged(map_arrow(texts, _digests, "id long, digest string"), "digests")))
     schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, column in columns(batches, "id", "text"):
             yield record_batch(schema, ids, [names.of(canonical(t)) for t in column.to_pylist()])
 
-    return map_arrow(texts, run, "doc_id long, fingerprint string")
+    return resolved(map_arrow(texts, run, "doc_id long, fingerprint string"), names, variants, "fingerprint").select("doc_id", "fingerprint")
 
 
 _NEXT = pa.schema([("range", pa.int32()), ("extra", pa.bool_()), ("key", pa.int64()), ("digest", pa.string()), ("id", pa.int64()), ("packed", pa.binary())])
 _EDITED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
 
-def likeness(a: bytes, b: bytes, name_a: str, name_b: str) -> float:
-    """Of two exact digests: 1 if they are equal, which bytes confirm, else 0."""
-    return 1.0 if name_a == name_b and a == b else 0.0
+def likeness(a: bytes, b: bytes) -> float:
+    """Of the exact digests of two canonical forms: 1 if the forms are equal, byte by byte, else 0."""
+    return float(a == b)
 
 
 def fingerprints_of_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,7 +177,7 @@ def fingerprints_of_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     texts = _ids(docs, id_col, text_col)
     digests = staged(map_arrow(texts, _digests, "id long, digest string"), "digests")
-    names = Names(collisions(texts, digests))
+    names, variants = named(collisions(texts, digests))
     keys = digests.select(F.coalesce("id", F.lit(_FIRST)).alias("key"), "digest")
     total = keys.count()
     ranges = max(1, min(MAX_RANGES, -(-total // ROWS_PER_RANGE)))
@@ -198,14 +216,16 @@ def fingerprints_of_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     edited = mine[: n - n // 4] + text[: n // 4]
                     edited_form = canonical(edited)
                     edited_name = names.of(edited_form)
-                    out.append((last[2], n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), last[5], edited_name, likeness(last[4], edited_form, last[5], edited_name), likeness(last[4], form, last[5], now[5])))
+                    out.append((last[2], n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), last[5], edited_name, likeness(last[4], edited_form), likeness(last[4], form)))
                 last = now
             if out:
                 yield record_batch(_EDITED, *map(list, zip(*out, strict=True)))
 
     dealt = map_arrow(texts, deal, "range int, extra boolean, key long, digest string, id long, packed binary")
     dealt = dealt.repartition("range").sortWithinPartitions("range", "extra", "key", "digest")
-    return map_arrow(dealt, edit, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    edits = map_arrow(dealt, edit, schema)
+    return resolved(edits, names, variants, "fingerprint", "edited_fingerprint").select(*edits.columns)
 
 
 def op4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:

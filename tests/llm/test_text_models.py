@@ -48,13 +48,19 @@ def test_bpe_query(library, spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = op10_bpe(spark, sf_dir).collect()
     assert len(got) == len(texts)
-    for r in got[:40]:
+    for r in got:
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_bpe_block_of_added_tokens_only(library):
+    for texts in (["<|endoftext|>"], ["<|endoftext|>", ""], ["<|startoftext|><|endoftext|>"] * 3):
+        got = [ids.tolist() for ids in PairIndexBpe(PATH).encode_many(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_bpe_awkward(spark, library):
     rows = encode(documents(spark), PATH).collect()
     assert len(rows) == 15 and {tuple(r.ids) for r in rows if r.doc_id in (3, 4, 12)} == {()}
@@ -105,7 +111,7 @@ def test_canonical_tells_equal_digests_apart(spark):
     batch = canonical.record_batch(canonical._FORMS, ["d", "d", "e"], [pack(b"a"), pack(b"b"), pack(b"a")])
     (out,) = canonical._variants(iter([batch]))
     assert out.to_pylist() == [{"digest": "d", "sha": hashlib.sha256(b"b").hexdigest(), "variant": 1}]
-    names = canonical.Names(spark.createDataFrame([("d", hashlib.sha256(b"b").hexdigest(), 1)], "digest string, sha string, variant long"))
+    names = canonical.Names({("d", hashlib.sha256(b"b").hexdigest()): 1})
     assert names.of(b"b", "d") == "d-1" and names.of(b"a", "d") == "d" and texts.count() == 3
 
 
@@ -164,3 +170,21 @@ def test_every_labelled_language_is_learned(spark):
     assert len(learned) > 64 and set(trees.languages) == learned
     got = {r.doc_id: r.lang_pred for r in identify(rows, trees).collect()}
     assert all(got[i] == lang for i, _, lang, _ in texts if lang in learned)
+
+
+def test_more_colliding_forms_than_are_shipped(spark, monkeypatch):
+    monkeypatch.setattr(canonical, "MAX_SHIPPED", 1)
+    monkeypatch.setattr(canonical.xxhash, "xxh3_128_hexdigest", lambda form: "0" * 31 + "ab"[len(form) % 2])
+    rows = [(i, t, "en", "s") for i, t in enumerate(["a", "A", "b", "c c", "cc", "dd d", "", None, "B "])]
+    docs = documents(spark, rows).coalesce(1)
+    forms = {i: canonical.canonical(t) for i, t, *_ in rows}
+    digests = {d: sorted({f for f in forms.values() if canonical.digest(f) == d}) for d in map(canonical.digest, forms.values())}
+    texts = canonical._ids(docs, "doc_id", "text")
+    variants = [(d, hashlib.sha256(f).hexdigest(), n) for d, fs in digests.items() for n, f in enumerate(fs) if n]
+    names, table = canonical.named(spark.createDataFrame(variants, "digest string, sha string, variant long"))
+    assert names.known is None and len(variants) > 2
+    given = spark.createDataFrame([(i, names.of(f)) for i, f in forms.items()], "doc_id long, fingerprint string")
+    got = {r.doc_id: r.fingerprint for r in canonical.resolved(given, names, table, "fingerprint").collect()}
+    small = canonical.Names({(d, sha): n for d, sha, n in variants})
+    assert got == {i: small.of(f) for i, f in forms.items()} and texts.count() == len(got)
+    assert all((got[i] == got[j]) == (forms[i] == forms[j]) for i in forms for j in forms)
