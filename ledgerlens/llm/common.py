@@ -52,6 +52,11 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def arrow_bounds(spark: SparkSession, rows: int = 2000, size: str = "16m") -> None:
     """Bound the Arrow batches by rows and bytes, so that batches of very long texts stay small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -2,7 +2,9 @@
 
 The tree is built level by level over all its nodes at once: per node the widest dimension (in parts of its range over all
 rows) is split at the weighted median, found by distributed histograms that narrow until the cut is within TOLERANCE of the
-wanted weight. Leaves are split until they reach the target bytes. Only histograms of fixed size reach the driver.
+wanted weight. Leaves are split until they reach the target bytes. Only histograms reach the driver, BINS numbers for a node at
+most, of MAX_LEAVES nodes at most: a tree of more leaves is split to parts of MAX_LEAVES leaves first, and each part, staged in a
+folder of its own, grows its own tree. A row finds its leaf level by level, by looking its node up in arrays.
 
 All dimensions describe the text (length, share of non-ASCII, share of blanks), with a hash of it to break ties, so equal
 texts share a leaf. Texts whose copies together outweigh an eighth of a leaf's target (so at most eight per leaf) are hot:
@@ -19,11 +21,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import read_table, staged
+from .common import fresh_path, path_exists, read_table, staged
 
 BINS, TOLERANCE, HOT_SHARE = 1024, 0.0005, 1 / 8
-#: Rows numbered by one task, about, and the most leaves of one tree.
-ROWS_PER_SLOT_GROUP, MAX_SHARDS = 5000, 4096
+#: Rows numbered by one task, about, and leaves that one tree grows; larger trees are grown in parts.
+ROWS_PER_SLOT_GROUP, MAX_LEAVES = 5000, 256
+#: Hot texts that are broadcast at most; there are 1 / HOT_SHARE for a shard at most, so their number is bounded beforehand.
+MAX_HOT = 100_000
 _TIE = 1 << 32
 DIMENSIONS = ("length", "non_ascii", "blanks")
 
@@ -37,10 +41,25 @@ class Node:
     right: Node | None = None
 
 
-def _leaf(node: Node, coordinates: list[Column], names: dict[int, int]) -> Column:
-    if node.left is None:
-        return F.lit(names[id(node)])
-    return F.when(coordinates[node.dim] < node.cut, _leaf(node.left, coordinates, names)).otherwise(_leaf(node.right, coordinates, names))
+def _look(values: list[int], at: Column) -> Column:
+    return F.get(F.lit(values).cast("array<long>"), at)
+
+
+def _routed(rows: DataFrame, root: Node, name: str) -> DataFrame:
+    """rows (c0, c1, ...) with the place of their leaf, from left to right: one look-up in arrays a level."""
+    rows, level = rows.withColumn(name, F.lit(0)), [root]
+    while any(n.left for n in level):
+        after: list[Node] = []
+        places = []
+        for n in level:
+            places.append((len(after), len(after) + (n.left is not None)))
+            after += [n] if n.left is None else [n.left, n.right]
+        at = F.col(name)
+        cut = _look([n.cut for n in level], at)
+        own = F.get(F.array(*[F.col(f"c{k}") for k in range(len(DIMENSIONS))]), _look([max(n.dim, 0) for n in level], at).cast("int"))
+        rows = rows.withColumn(name, F.when(own < cut, _look([a for a, _ in places], at)).otherwise(_look([b for _, b in places], at)).cast("int"))
+        level = after
+    return rows
 
 
 def _in_order(node: Node) -> list[Node]:
@@ -65,9 +84,10 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def _coordinates(rows: DataFrame, target: float) -> DataFrame:
     """id, size, crc, h and c0, c1, ...: each dimension in 2^30 steps, with a tie-breaker below."""
-    low_high = rows.agg(*[f(d).alias(f"{f.__name__}_{d}") for d in DIMENSIONS for f in (F.min, F.max)]).first()
-    hot = [r["h"] for r in rows.groupBy("h").agg(F.sum("size").alias("w")).filter(F.col("w") > target * HOT_SHARE).select("h").collect()]
-    tie = F.when(F.col("h").isin(hot), F.xxhash64("h", "id")).otherwise(F.xxhash64("h")) if hot else F.xxhash64("h")
+    low_high = rows.agg(F.sum("size").alias("total"), *[f(d).alias(f"{f.__name__}_{d}") for d in DIMENSIONS for f in (F.min, F.max)]).first()
+    hot = rows.groupBy("h").agg(F.sum("size").alias("w")).filter(F.col("w") > target * HOT_SHARE).select("h", F.lit(True).alias("hot"))
+    rows = staged(rows.join(F.broadcast(hot) if target * HOT_SHARE * MAX_HOT > (low_high["total"] or 0) else hot, "h", "left"), "marked")
+    tie = F.when(F.col("hot"), F.xxhash64("h", "id")).otherwise(F.xxhash64("h"))
     columns = []
     for k, d in enumerate(DIMENSIONS):
         low, high = low_high[f"min_{d}"] or 0.0, low_high[f"max_{d}"] or 0.0
@@ -76,31 +96,33 @@ def _coordinates(rows: DataFrame, target: float) -> DataFrame:
     return rows.select("id", "size", "crc", "h", *columns)
 
 
-def _split(rows: DataFrame, root: Node) -> list[Node]:
-    """Split each leaf of the tree that has several leaves to come; returns the new nodes. rows: size, c0, c1, ..."""
+def _split(rows: DataFrame, root: Node, most: int) -> list[Node]:
+    """Split each leaf of the tree that has over `most` leaves to come; returns the nodes split. rows: size, c0, c1, ..."""
     coordinates = [F.col(f"c{k}") for k in range(len(DIMENSIONS))]
     leaves = _in_order(root)
-    open_nodes = [n for n in leaves if n.leaves > 1]
-    names = {id(n): (open_nodes.index(n) if n in open_nodes else -1) for n in leaves}
-    rows = rows.withColumn("node", _leaf(root, coordinates, names)).filter("node >= 0")
+    open_nodes = {k: n for k, n in enumerate(leaves) if n.leaves > most}
+    if not open_nodes:
+        return []
+    rows = _routed(rows, root, "node")
+    if len(open_nodes) < len(leaves):
+        rows = rows.filter(_look([k in open_nodes for k in range(len(leaves))], F.col("node")) == 1)
     stats = {r["node"]: r for r in rows.groupBy("node").agg(F.sum("size").alias("w"), *[f(c).alias(f"{f.__name__}{k}") for k, c in enumerate(coordinates) for f in (F.min, F.max)]).collect()}
     search = {}
-    for k, node in enumerate(open_nodes):
+    for k, node in open_nodes.items():
         r = stats.get(k)
+        node.left, node.right = Node(node.leaves // 2), Node(node.leaves - node.leaves // 2)
+        node.dim = 0
         if r is None:
-            node.dim, node.cut = 0, 0
             continue
         node.dim = max(range(len(DIMENSIONS)), key=lambda d: r[f"max{d}"] // _TIE - r[f"min{d}"] // _TIE)
         # weight wanted below the cut, weight known to be below lo, and the bounds of the cut
         search[k] = [r["w"] * (node.leaves // 2) / node.leaves, 0, r[f"min{node.dim}"], r[f"max{node.dim}"] + 1, r["w"] * TOLERANCE]
     while search:
-        own = F.lit(None)
-        for k, (_, _, lo, hi, _) in search.items():
-            c = coordinates[open_nodes[k].dim]
-            width = -(-(hi - lo) // BINS)
-            own = F.when((F.col("node") == k) & (c >= lo) & (c < hi), F.floor((c - F.lit(lo)) / F.lit(width)).cast("int")).otherwise(own)
+        known = lambda f: _look([f(search[k]) if k in search else 0 for k in range(len(leaves))], F.col("node"))  # noqa: E731, B023
+        c = F.get(F.array(*coordinates), _look([max(n.dim, 0) for n in leaves], F.col("node")).cast("int"))
+        inside = rows.select("node", "size", c.alias("c"), known(lambda s: s[2]).alias("lo"), known(lambda s: s[3]).alias("hi")).filter("c >= lo and c < hi")
         found: dict[int, dict[int, int]] = {}
-        for r in rows.withColumn("bin", own).filter("bin is not null").groupBy("node", "bin").agg(F.sum("size").alias("w")).collect():
+        for r in inside.withColumn("bin", F.expr(f"int((c - lo) div ((hi - lo + {BINS - 1}) div {BINS}))")).groupBy("node", "bin").agg(F.sum("size").alias("w")).collect():
             found.setdefault(r["node"], {})[r["bin"]] = r["w"]
         for k, (wanted, below, lo, hi, slack) in list(search.items()):
             width = -(-(hi - lo) // BINS)
@@ -118,9 +140,33 @@ def _split(rows: DataFrame, root: Node) -> list[Node]:
                 del search[k]
             else:
                 search[k] = [wanted, below, start, end, slack]
-    for node in open_nodes:
-        node.left, node.right = Node(node.leaves // 2), Node(node.leaves - node.leaves // 2)
-    return open_nodes
+    return list(open_nodes.values())
+
+
+def _grown(rows: DataFrame, leaves: int, most: int = 1) -> Node:
+    root = Node(leaves)
+    while _split(rows, root, most):
+        pass
+    return root
+
+
+def _placed(rows: DataFrame, shards: int) -> DataFrame:
+    """rows (size, c0, c1, ...) with shard, 0 to shards - 1."""
+    if shards <= MAX_LEAVES:
+        return _routed(rows, _grown(rows, shards), "shard")
+    spark = rows.sparkSession
+    root = _grown(rows, shards, max(MAX_LEAVES, -(-shards // MAX_LEAVES)))
+    parts = _in_order(root)
+    path = fresh_path(spark, "parts")
+    _routed(rows, root, "part").write.partitionBy("part").parquet(path)
+    out, first = fresh_path(spark, "shards"), 0
+    schema = rows.withColumn("shard", F.lit(0)).schema
+    for k, part in enumerate(parts):
+        if path_exists(spark, f"{path}/part={k}"):
+            own = _placed(spark.read.schema(rows.schema).parquet(f"{path}/part={k}"), part.leaves)
+            own.select(*rows.columns, (F.col("shard") + first).cast("int").alias("shard")).write.mode("append").parquet(out)
+        first += part.leaves
+    return spark.read.schema(schema).parquet(out) if path_exists(spark, out) else spark.createDataFrame([], schema)
 
 
 def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,16 +175,9 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
     total = total or 0
     shards = shards or max(1, math.ceil(total / (target_bytes or 1)))
-    if shards > MAX_SHARDS:
-        raise ValueError(f"at most {MAX_SHARDS} shards in one tree; shard the shards for more")
-    rows = _coordinates(rows, total / shards)
-    root = Node(shards)
-    while _split(rows, root):
-        pass
-    leaves = _in_order(root)
-    shard = _leaf(root, [F.col(f"c{k}") for k in range(len(DIMENSIONS))], {id(n): k for k, n in enumerate(leaves)})
     groups = max(1, math.ceil(count / shards / ROWS_PER_SLOT_GROUP))
-    placed = rows.select("id", "size", "crc", "h", shard.cast("int").alias("shard"), F.pmod(F.xxhash64("id", "h"), F.lit(groups)).cast("int").alias("part"))
+    placed = _placed(_coordinates(rows, total / shards), shards)
+    placed = placed.select("id", "size", "crc", "h", "shard", F.pmod(F.xxhash64("id", "h"), F.lit(groups)).cast("int").alias("part"))
     counts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

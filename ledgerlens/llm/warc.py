@@ -4,8 +4,9 @@ Writing: one record per page, in files below the shared folder, by Spark's own t
 writer does, with two line ends), so any file system that Spark knows will do. Equal payloads of REVISIT_BYTES or more are
 stored once; all but the one with the largest page id are revisit records. Reading streams through each file by the records'
 Content-Length, recomputes digests and sorts captures locally into runs. The runs are written, dealt by sampled splitters over
-(URL key, time, id), and each range merges its k run slices by a loser tree: the partitions one after the other hold all
-capture histories in order.
+(URL key, time, id, place), and each range, of about ROWS_PER_RANGE entries however often a page was captured, merges its k run slices
+by a loser tree: the partitions one after the other hold all capture histories in order. An entry's offset counts the archive's bytes
+before compression, as a file is one gzip member.
 
 Defined results: a null payload is empty; a null url has an empty key; rows that repeat a page id with its payload are records
 of their own and have the same type; a null page id is smaller than all others; an empty table gives an empty result.
@@ -25,7 +26,7 @@ from .common import arrow_bounds, columns, fresh_path, join_hot_left, map_arrow,
 
 REVISIT_BYTES = 1000
 #: Records in one archive file, entries in one sorted run, and entries that one range of the merge should hold.
-RECORDS_PER_FILE, RUN_ROWS, ROWS_PER_RANGE = 20_000, 50_000, 250_000
+RECORDS_PER_FILE, RUN_ROWS, ROWS_PER_RANGE = 20_000, 50_000, 50_000
 END = "\r\n\r\n"
 _END = END.encode()
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -201,17 +202,13 @@ class LoserTree:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by run and place in the run, about ROWS_PER_RANGE of them; the slices of the runs are held and merged."""
     slices: dict[int, list[tuple]] = {}
     for batch in batches:
         for row in zip(*(batch.column(k).to_pylist() for k in range(len(_ENTRY))), strict=True):
-            slices.setdefault(row[9], []).append((row[10], sort_key(row), row))
-    ordered = []
-    for rows in slices.values():
-        if any(a[0] > b[0] for a, b in zip(rows, rows[1:], strict=False)):
-            rows.sort(key=lambda r: r[0])  # a run's blocks may arrive in any order
-        ordered.append([(key, row) for _, key, row in rows])
+            slices.setdefault(row[9], []).append((sort_key(row), row))
     out = []
-    for _, row in LoserTree(ordered) if ordered else ():
+    for _, row in LoserTree(list(slices.values())) if slices else ():
         out.append(row)
         if len(out) == 5000:
             yield record_batch(_ENTRY, *map(list, zip(*out, strict=True)))
@@ -230,7 +227,8 @@ def capture_histories(spark: SparkSession, path: str) -> DataFrame:
     """All captures in the archives, ordered by URL key, time and id over the partitions one after the other."""
     runs = read_runs(spark, path)
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // ROWS_PER_RANGE))
-    return map_arrow(runs.repartitionByRange(ranges, "url_key", "captured", "page_id", "archive", "offset"), _merge, ENTRY).drop("run", "seq")
+    dealt = runs.repartitionByRange(ranges, "url_key", "captured", "page_id", "archive", "offset").sortWithinPartitions("run", "seq")
+    return map_arrow(dealt, _merge, ENTRY).drop("run", "seq")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

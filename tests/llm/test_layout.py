@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from ledgerlens.llm import warc
+from ledgerlens.llm import sharding, warc
 from ledgerlens.llm.sharding import kd_shards, op1_sharding
 
 from .cases import documents, empty
@@ -37,8 +37,40 @@ def test_shards_with_a_hot_text_and_awkward_rows(spark):
     odd = kd_shards(documents(spark), target_bytes=200_000).collect()
     assert len(odd) == 15 and {r["size"] for r in odd if r.doc_id in (3, 4)} == {1}
     assert kd_shards(empty(spark), shards=16).count() == 0
-    with pytest.raises(ValueError):
-        kd_shards(documents(spark), target_bytes=1, shards=10_000)
+
+
+def plain_tree(points, leaves, most=1):
+    """Shard of each point (weight, coordinates) by a K-d tree whose cuts are exact weighted medians."""
+    if leaves <= most or not points:
+        return {p: 0 for p in points}
+    dim = max(range(len(sharding.DIMENSIONS)), key=lambda d: max(p[1][d] for p in points) // sharding._TIE - min(p[1][d] for p in points) // sharding._TIE)
+    wanted, below = sum(p[0] for p in points) * (leaves // 2) / leaves, 0
+    ordered, cut = sorted(points, key=lambda p: p[1][dim]), 0
+    while cut < len(ordered) and below + ordered[cut][0] / 2 < wanted:
+        below += ordered[cut][0]
+        cut += 1
+    left, right = plain_tree(ordered[:cut], leaves // 2), plain_tree(ordered[cut:], leaves - leaves // 2)
+    return left | {p: k + leaves // 2 for p, k in right.items()}
+
+
+@pytest.mark.parametrize("most", [256, 2])
+def test_shards_against_a_plain_tree(spark, monkeypatch, most):
+    """With no tolerance, cuts are those of a plain tree; with few leaves a tree, parts grow trees of their own, to like effect."""
+    monkeypatch.setattr(sharding, "TOLERANCE", 0.0)
+    monkeypatch.setattr(sharding, "MAX_LEAVES", most)
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice("ab é") for _ in range(rng.randrange(1, 400))), "en", "s") for i in range(160)]
+    measured = sharding.measured(documents(spark, rows))
+    placed = sharding._coordinates(measured, measured.agg({"size": "sum"}).first()[0] / 5).collect()
+    points = {(r["size"], (r.c0, r.c1, r.c2)): r.id for r in placed}
+    got = {r.doc_id: r.shard for r in kd_shards(documents(spark, rows), shards=5).collect()}
+    weights = Counter()
+    for r in placed:
+        weights[got[r.id]] += r["size"]
+    assert sorted(weights) == list(range(5)) and max(weights.values()) - min(weights.values()) < 1200
+    if most > 2:
+        want = {points[p]: k for p, k in plain_tree(list(points), 5).items()}
+        assert got == want
 
 
 def pages(spark, rows):
