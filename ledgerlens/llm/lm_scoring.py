@@ -5,9 +5,10 @@ the end, are predicted one by one; all others fall into suffix classes, within w
 share of the training tokens, (c + 1) / (N_class + V_class + 1), so known and unknown words of any number share one
 distribution. The output softmax is factored into classes: frequency classes of core words and the suffix classes.
 
-The network first takes a bounded warm-up on WARM_TOKENS tokens of training documents picked by a hash. Then each partition
+The network first warms up on whole training documents in the order of a hash, until they hold WARM_TOKENS tokens. Then each partition
 trains over all of its training documents from there, with truncated backpropagation, and the weights are averaged by tokens:
-blocks of weights are summed by key on the executors, and only the mean reaches the driver. Its size is fixed.
+blocks of weights are summed by key on the executors, and only the mean reaches the driver. Its size is fixed. So weights, and
+scores, depend on how the table is cut into partitions; counts and base scores don't.
 
 Words outside the HEAD most frequent ones (cut where a frequency step ends) meet their counts in a shuffled join, one row per document and word; a word's rows
 there are few since HEAD words are more frequent.
@@ -190,8 +191,11 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> GatedModel:
     model = vocabulary.model()
     share = min(1.0, WARM_TOKENS / max(1, vocabulary.tokens))
     encoder = Encoder(vocabulary)
-    warm = [encoder.encode(words_of(r["text"]))[0] for r in texts.filter(F.col("draw") < share).select("text").toLocalIterator()]
-    warm = warm[: int(np.searchsorted(np.cumsum([len(d) for d in warm]), 4 * WARM_TOKENS)) + 1]  # at any rate
+    warm, held = [], 0
+    for r in texts.filter(F.col("draw") < 4 * share).orderBy("draw", "text").select("text").toLocalIterator():
+        warm.append(encoder.encode(words_of(r["text"]))[0])
+        if (held := held + len(warm[-1])) >= WARM_TOKENS:
+            break
     if warm:
         adam = Adam(model, WARM_RATE)
         for k in range(WARM_PASSES):
