@@ -27,10 +27,10 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that five-word similarity of 0.8 or more connects, the smallest doc_id stays."""
-    docs = _documents(docs)
-    gone = staged(simhash.near_groups(docs).select("doc_id"), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    """Of the documents that five-word similarity of 0.8 or more connects, the one with the smallest doc_id stays."""
+    docs = simhash.numbered(_documents(docs), "row")
+    gone = staged(simhash.near_groups(docs, row_col="row").select(F.col("rid").alias("row")), "gone")
+    return docs.join(gone, "row", "left_anti").select(*DOCUMENT_COLUMNS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
