@@ -28,9 +28,10 @@ def case(text: str, rules, flags: str = "(?i)") -> str:
 
 def _sentences() -> str:
     t = r"regexp_replace(regexp_replace(text, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')"
+    # RE2's \b knows ASCII words only: the end of a word such as `öst.` would pass for an abbreviation
     for a, b in C.DOTTED_ABBREVIATIONS:
-        t = rf"regexp_replace({t}, '\b({a})\.({b})\.', '\1' || chr(1) || '\2' || chr(1), 'gi')"
-    t = rf"regexp_replace({t}, '\b({'|'.join(C.ABBREVIATIONS)})\.', '\1' || chr(1), 'gi')"
+        t = rf"regexp_replace({t}, '(^|[^\pL\pN_])({a})\.({b})\.', '\1\2' || chr(1) || '\3' || chr(1), 'gi')"
+    t = rf"regexp_replace({t}, '(^|[^\pL\pN_])({'|'.join(C.ABBREVIATIONS)})\.', '\1\2' || chr(1), 'gi')"
     for p, r in ((r"([.!?])\s+([A-Z\"])", r"'\1' || chr(2) || '\2'"), (r"([.!?])\n+", r"'\1' || chr(2)"), (r"\n{2,}", "chr(2)")):
         t = f"regexp_replace({t}, '{p}', {r}, 'g')"
     parts = f"list_filter(list_transform(string_split({t}, chr(2)), lambda s: trim(replace(s, chr(1), '.'), ' ' || chr(10) || chr(9) || chr(13))), lambda s: s <> '')"
