@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import html
+import re
 import unicodedata
 from collections.abc import Sequence
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.patterns import LINES, any_of, matches
+from ..functions.patterns import LINES, matches
 from ..rules import filings as R
 
 
@@ -75,16 +78,84 @@ def decode_text(content: pd.Series) -> pd.Series:
     return content.map(one)
 
 
+_VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
+
+
+class _PageText(HTMLParser):
+    """Text nodes of a page; those below dropped, hidden or taxonomy elements are left out, block elements stand between line ends."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.pieces: list[str] = []
+        self.open: list[tuple[str, bool]] = []
+
+    def _unseen(self) -> bool:
+        return bool(self.open) and self.open[-1][1]
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        named = {k: (v or "").lower() for k, v in attrs}
+        style = named.get("style", "").replace(" ", "")
+        hidden = "display:none" in style or "visibility:hidden" in style or named.get("hidden") in ("hidden", "true") or named.get("aria-hidden") == "true"
+        gone = self._unseen() or hidden or tag in R.DROPPED_TAGS or tag.startswith(("xbrli:", "xbrldi:", "link:"))
+        if tag in R.BLOCK_TAGS and not gone:
+            self.pieces.append("\n")
+        if tag not in _VOID:
+            self.open.append((tag, gone))
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.open.pop()
+
+    def handle_endtag(self, tag: str) -> None:
+        if not any(t == tag for t, _ in self.open):
+            return
+        if tag in R.BLOCK_TAGS and not self._unseen():
+            self.pieces.append("\n")
+        while self.open.pop()[0] != tag:
+            pass
+
+    def handle_data(self, data: str) -> None:
+        if not self._unseen():
+            self.pieces.append(data)
+
+
+_BREAKS = [re.compile(p, re.I) for p in R.BROKEN_BEFORE]
+
+
+def plain_text(raw: str | None) -> str | None:
+    """Text of a page, entities resolved, in compatibility form, words joined over line ends, parts and items on lines of their own."""
+    if raw is None:
+        return None
+    page = _PageText()
+    page.feed(raw)
+    page.close()
+    text = unicodedata.normalize("NFKC", html.unescape(" ".join(page.pieces)))
+    text = text.translate({0xA0: " ", 0x200B: None, 0xFEFF: None, 0xAD: None, 0x0C: "\n", 0x0D: "\n"})
+    text = re.sub(r"(?<=\w)-\s*\n\s*(?=\w)", "", text)
+    text = re.sub(r"[ \t]*\n[ \t]*", "\n", text)
+    text = re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]{2,}", " ", text))
+    for pattern in _BREAKS:
+        text = pattern.sub(r"\n\1", text)
+    return text.strip()
+
+
+@F.pandas_udf(T.StringType())
+def page_text(raw: pd.Series) -> pd.Series:
+    """plain_text of each page: nesting, every entity and the compatibility form are beyond patterns and Spark's functions."""
+    return raw.map(plain_text)
+
+
 def is_junk_line(line: Column) -> Column:
     line = F.trim(line)
     tokens = F.filter(F.split(line, r"\s+"), lambda t: t != "")
-    odd = F.filter(tokens, lambda t: t.rlike(r"(?i)\b(?:us-gaap|dei|xbrli|xbrldi|ix|ixt|srt|stpr|iso4217|country|ecd):[A-Za-z0-9_.#/-]+\b") | t.rlike(r"\b[A-Za-z][A-Za-z0-9_.-]*Member\b") | t.rlike(r"https?://\S+"))
-    return matches(line, R.JUNK_LINES) | line.rlike(r"^(?:-\s*)?\d{1,4}(?:\s*-)?$") | ((F.size(tokens) >= 6) & (F.size(odd) / F.greatest(F.size(tokens), F.lit(1)) >= 0.55))
+    odd = F.filter(tokens, lambda t: t.rlike(R.ODD_TOKENS[0]) | t.rlike(R.ODD_TOKENS[1]) | t.rlike(R.ODD_TOKENS[2]))
+    return matches(line, R.JUNK_LINES) | line.rlike(R.PAGE_NUMBER) | ((F.size(tokens) >= 6) & (F.size(odd) / F.greatest(F.size(tokens), F.lit(1)) >= 0.55))
 
 
 def rebuild_paragraphs(text: Column) -> Column:
     """Lines joined to paragraphs; a blank line, a heading or an end of sentence closes one; junk lines go; headings in capitals."""
-    heading = lambda s: s.rlike(r"(?i)^(part\s+[ivx]+|item\s+\d+[a-z]?)\b")
+    heading = lambda s: s.rlike(R.HEADING_LINE)
     lines = F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: ~is_junk_line(s))
     marked = F.transform(lines, lambda s: F.when(s == "", F.lit("\x02")).when(heading(s), F.concat(F.lit("\x02"), F.upper(s), F.lit("\x02"))).when(s.rlike(r"[.!?:;]$"), F.concat(s, F.lit("\x02"))).otherwise(s))
     parts = F.filter(F.transform(F.split(F.array_join(marked, " "), "\x02"), lambda s: F.trim(s)), lambda s: s != "")
@@ -98,34 +169,67 @@ def trim_preamble(text: Column) -> Column:
 
 
 def clean_filing(raw: Column) -> Column:
-    return trim_preamble(rebuild_paragraphs(normalize_space(html_to_text(strip_blocks(primary_document(raw))))))
+    return trim_preamble(rebuild_paragraphs(page_text(strip_blocks(primary_document(raw)))))
 
 
-def section(text: Column, starts: Sequence[str], length: tuple[int, int]) -> Column:
-    """The longest slice from a start to the next end heading, of the first start pattern with one of allowed length.
+_ENDS = [re.compile(p, re.I | re.M) for p in R.SECTION_END]
+_CONTENTS = re.compile(r"\.{3,}|\t\d{1,3}\s*$", re.I)
+
 
-    A start in a table of contents (dots or a tab and page number after it) doesn't count; too long slices are left out, not cut.
+def find_section(text: str | None, starts: Sequence[str], length: tuple[int, int]) -> str | None:
+    """The longest slice from a start to the nearest end heading after it, of the first start pattern with one of allowed length.
+
+    Every start is tried. One in a table of contents (dots, or a tab and a page number, around it) doesn't count; slices that are too
+    long are left out, not cut.
     """
-    ends = any_of(R.SECTION_END)
-    found = []
-    for start in starts:
-        pattern = rf"{LINES}({start}(?![^\n]{{0,20}}\.{{3,}}|[^\n]{{0,20}}\t\d{{1,3}}\s*$)(?s:.*?))(?={ends}|\z)"
-        slices = F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda s: F.btrim(s, F.lit(" \n\t\r")))
-        found.append(longest(F.filter(slices, lambda s: F.length(s).between(*length))))
-    return F.coalesce(*found)
+    for start in starts if text else ():
+        best = None
+        for m in re.finditer(start, text, re.I | re.M):
+            if _CONTENTS.search(text, max(0, m.start() - 5), m.end() + 20):
+                continue
+            ends = [e.start() for e in (p.search(text, m.end() + 1) for p in _ENDS) if e]
+            found = text[m.start() : min(ends, default=len(text))].strip()
+            if length[0] <= len(found) <= length[1] and (best is None or len(found) > len(best)):
+                best = found
+        if best is not None:
+            return best
+    return None
 
 
-def route(filings: DataFrame, mode: str = "canonical", text: str = "text") -> DataFrame:
-    """Adds section_source, section_text and route. mode: canonical, strict (competition-only filings are isolated) or lenient."""
+def section(text: Column, starts: Sequence[str], length: tuple[int, int]) -> Column:
+    """find_section of each text, in Arrow batches."""
+
+    @F.pandas_udf(T.StringType())
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: find_section(t, starts, length))
+
+    return of(text)
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in ("business", "competition", "header_only")]))
+def sections(texts: pd.Series) -> pd.DataFrame:
+    """Business and competition sections, and a business section too short to be one, of each text."""
+    kinds = {"business": (R.BUSINESS_START, R.BUSINESS_LENGTH), "competition": (R.COMPETITION_START, R.COMPETITION_LENGTH), "header_only": (R.BUSINESS_START, R.HEADER_ONLY_LENGTH)}
+    return pd.DataFrame({k: [find_section(t, *rule) for t in texts] for k, rule in kinds.items()}, dtype=object)
+
+
+def route_features(filings: DataFrame, text: str = "text") -> DataFrame:
+    """Adds what routes are decided by: has_business_header, has_competition_header, has_term and the struct sections."""
     t = F.col(text)
-    rows = filings.withColumns({
-        "has_business_header": matches(t, R.BUSINESS_START, LINES), "has_competition_header": matches(t, R.COMPETITION_START, LINES), "has_term": t.rlike("(?iU)" + R.COMPETITION_TERM),
-        "__b": section(t, R.BUSINESS_START, R.BUSINESS_LENGTH), "__c": section(t, R.COMPETITION_START, R.COMPETITION_LENGTH),
-    })
-    business, competition, term = F.col("has_business_header"), F.col("has_competition_header"), F.col("has_term")
-    use_competition = F.col("__b").isNull() & F.col("__c").isNotNull() & (F.lit(mode != "strict") | business)
-    rows = rows.withColumn("section_source", F.when(F.col("__b").isNotNull(), "business").when(use_competition, "competition").otherwise("none"))
-    rows = rows.withColumn("section_text", F.when(F.col("section_source") == "business", F.col("__b")).when(F.col("section_source") == "competition", F.col("__c")))
+    return filings.withColumns({"has_business_header": matches(t, R.BUSINESS_START, LINES), "has_competition_header": matches(t, R.COMPETITION_START, LINES), "has_term": t.rlike("(?iU)" + R.COMPETITION_TERM), "sections": sections(t)})
+
+
+def route(filings: DataFrame, mode: str = "canonical", text: str = "text") -> DataFrame:
+    """Adds sections, section_source, section_text and route. mode: canonical, strict (competition-only filings are isolated) or lenient.
+
+    filings may have the columns of route_features already. A null text has no headers, no term and no section.
+    """
+    rows = filings if "sections" in filings.columns and "has_term" in filings.columns else route_features(filings, text)
+    business, competition, term = (F.coalesce(F.col(c), F.lit(False)) for c in ("has_business_header", "has_competition_header", "has_term"))
+    own, other = F.col("sections.business"), F.col("sections.competition")
+    use_competition = own.isNull() & other.isNotNull() & (F.lit(mode != "strict") | business)
+    rows = rows.withColumn("section_source", F.when(own.isNotNull(), "business").when(use_competition, "competition").otherwise("none"))
+    rows = rows.withColumn("section_text", F.when(F.col("section_source") == "business", own).when(F.col("section_source") == "competition", other))
     nothing = F.col("section_source") == "none"
     in_section = F.col("section_text").rlike("(?iU)" + R.COMPETITION_TERM)
     alone = {"canonical": "isolated/business_header_only", "strict": "isolated/no_business_header_has_competition_term", "lenient": "none"}[mode]
@@ -136,7 +240,19 @@ def route(filings: DataFrame, mode: str = "canonical", text: str = "text") -> Da
     )
     if mode != "lenient":
         decided = decided.when((F.col("section_source") == "business") & ~competition & ~in_section, "no_outgoing_edges")
-    return rows.withColumn("route", decided.otherwise("business")).drop("__b", "__c")
+    return rows.withColumn("route", decided.otherwise("business"))
+
+
+def append_status(cleaned: DataFrame, business: DataFrame) -> DataFrame:
+    """cleaned: stem, text; business: stem, content, one row a stem. stem, status and reason of appending the competition section.
+
+    A text without both sections, without a business file, or whose file has the mark already is skipped, for the first reason that holds.
+    """
+    found = cleaned.withColumn("__s", sections("text"))
+    both = found["__s.business"].isNotNull() & found["__s.competition"].isNotNull()
+    joined = found.select("stem", both.alias("__both")).join(business.select("stem", F.col("content").alias("__content")), "stem", "left")
+    reason = F.when(~F.col("__both"), "missing_section").when(F.col("__content").isNull(), "no_business_file").when(F.contains("__content", F.lit(R.APPEND_MARK.strip())), "already_appended")
+    return joined.select("stem", F.when(reason.isNull(), "appended").otherwise("skipped").alias("status"), F.coalesce(reason, F.lit("")).alias("reason"))
 
 
 def append_competition(business: Column, competition: Column) -> Column:

@@ -39,6 +39,45 @@ def parse_stem(df: DataFrame, stem: str = "stem") -> DataFrame:
     return out.withColumn("parse_notes", F.array_join(notes, "; ")).withColumn("parse_success", F.size(notes) == 0)
 
 
+def first_present(columns: Sequence[str], names: Sequence[str] = R.FILE_COLUMNS) -> Column:
+    """The first of the named columns that isn't blank in the row, with slashes for backslashes; null if there is none."""
+    given = [blank_to_null(F.col(n).cast("string")) for n in names if n in columns]
+    return F.translate(F.coalesce(*given), "\\", "/") if given else F.lit(None).cast("string")
+
+
+def overlay(parsed: DataFrame, given: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """parsed with the columns' values from given, one row a key, wherever those aren't blank."""
+    other = given.select(key, *[blank_to_null(F.col(c).cast("string")).alias(f"__{c}") for c in columns])
+    return parsed.join(other, key, "left").withColumns({c: F.coalesce(f"__{c}", c) for c in columns}).drop(*[f"__{c}" for c in columns])
+
+
+def content_section_type(text: Column, both: Column) -> Column:
+    """What a text's head says of its section where the file name says nothing; both: whether the text has both headings."""
+    head = F.left(text, F.lit(R.CONTENT_HEAD_CHARS))
+    named = F.nullif(F.lower(F.regexp_extract(head, ANY_CASE + R.NAMED_SECTION, 1)), F.lit(""))
+    out = F.when(both, "business+competition").when(named.isNotNull(), named)
+    for pattern, kind in R.HEAD_SECTIONS:
+        out = out.when(head.rlike(LINES + pattern), kind)
+    return out
+
+
+def node_cik(files: DataFrame, raw: DataFrame, stem: str = "stem") -> DataFrame:
+    """files (stem, submitter_cik) with cik: of the raw file of the same stem, else the accession's first ten digits, else as parsed.
+
+    raw: stem, cik, seen; of several rows for a stem the first seen counts. Stems are compared without a `_business` ending, in lower case.
+    """
+    key = lambda c: F.lower(F.trim(F.regexp_replace(c, "(?i)_business$", "")))
+    first = raw.withColumn("__c", integer_cik(F.col("cik"))).filter("__c is not null").groupBy(key(F.col("stem")).alias("__stem")).agg(F.min_by("__c", "seen").alias("__raw"))
+    joined = files.withColumn("__stem", key(F.col(stem))).join(first, "__stem", "left")
+    accession = integer_cik(F.nullif(F.regexp_extract(F.get(F.split(stem, "__"), 2), r"^(\d{10})", 1), F.lit("")))
+    return joined.withColumn("cik", F.coalesce("__raw", accession, F.col("submitter_cik"))).withColumn("from_raw", F.col("__raw").isNotNull()).drop("__stem", "__raw")
+
+
+def first_rows(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first n rows in the given order, which should be total."""
+    return df.orderBy(*order).limit(n)
+
+
 def content_stats(df: DataFrame, text: str = "text", large: int = R.LARGE_CHARS) -> DataFrame:
     """Adds text_char_count, text_line_count, is_large and section_presence."""
     t = F.col(text)
@@ -102,5 +141,6 @@ def rewrite_path(path: Column, old: str, new: str) -> Column:
 
 
 def first_by_key(df: DataFrame, key: Sequence[str], order: Sequence) -> DataFrame:
+    """One row of each key, the first in the given order."""
     w = Window.partitionBy(*key).orderBy(*order)
     return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")

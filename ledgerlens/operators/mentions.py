@@ -12,18 +12,19 @@ PATTERNS = (("pattern_a", r"\b(?:Supplier|Customer)#\d+"), ("pattern_b", r"\b(?:
 
 def extract_spans(windows: DataFrame, patterns: tuple[tuple[str, str], ...] = PATTERNS, id_col: str = "window_id", text_col: str = "window_text") -> DataFrame:
     """Stand-in for the neural extractors: all matches of each pattern with their character offsets. Other extractors give the same columns."""
-    every = []
-    for name, pattern in patterns:
-        found = F.regexp_extract_all(F.col(text_col), F.lit(pattern), 0)
-        # offsets by walking over the text: what stands before the n-th match is the n first pieces and matches
-        pieces = F.split(F.col(text_col), pattern, -1)
-        rows = windows.select(id_col, found.alias("m"), pieces.alias("p")).select(id_col, F.posexplode("m").alias("k", "text"), "m", "p")
-        start = F.aggregate(F.sequence(F.lit(0), F.col("k")), F.lit(0), lambda acc, i: acc + F.length(F.get("p", i)) + F.when(i < F.col("k"), F.length(F.get("m", i))).otherwise(0))
-        every.append(rows.select(id_col, "text", start.alias("start"), (start + F.length("text")).alias("end"), F.lit(name).alias("extractor")))
-    out = every[0]
-    for df in every[1:]:
-        out = out.unionByName(df)
-    return out
+    return windows.select(id_col, F.inline(F.concat(*[_matches(F.col(text_col), name, pattern) for name, pattern in patterns])))
+
+
+def _matches(text: Column, name: str, pattern: str) -> Column:
+    """Array of struct(text, start, end, extractor): before the end of a match stand the pieces and matches up to it."""
+    found, pieces = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
+    lengths = F.transform(F.arrays_zip(pieces.alias("p"), found.alias("m")), lambda x: F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0)))
+
+    def placed(match: Column, k: Column) -> Column:
+        end = F.aggregate(F.slice(lengths, 1, k + 1), F.lit(0), lambda acc, x: acc + x)
+        return F.struct(match.alias("text"), (end - F.length(match)).alias("start"), end.alias("end"), F.lit(name).alias("extractor"))
+
+    return F.transform(found, placed)
 
 
 def merge_spans(spans: DataFrame, id_col: str = "window_id") -> DataFrame:

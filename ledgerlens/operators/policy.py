@@ -11,7 +11,7 @@ from ..rules import mentions as R
 
 
 def normalized(mention: Column) -> Column:
-    """Straight quotes, no quotes, bullets or blanks at the ends, single blanks. (NFKC: functions.text.nfkc, for non-ASCII data.)"""
+    """Straight quotes, no quotes, bullets or blanks at the ends, single blanks. (For non-ASCII data: operators.cleaning.nfkc first.)"""
     m = F.translate(F.coalesce(mention, F.lit("")), R.CURLY, R.STRAIGHT)
     m = F.regexp_replace(m, r"(?U)\s+", " ")
     return F.btrim(m, F.lit(R.STRIPPED))
@@ -65,6 +65,57 @@ def prefilter(rows: DataFrame, mentions: str = "org_mentions", types: str = "men
     return out.withColumn("union_count", F.size("__names")).withColumn("union_types", type_counts(F.col("__types"))).withColumn("removed_count", F.col("union_count") - F.col("keep_count")).drop("__names", "__types", "__l")
 
 
+def safe_int(c: Column) -> Column:
+    """A whole number that may have blanks around it, null for anything else."""
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("long"))
+
+
+def first_column(df: DataFrame, names: Sequence[str]) -> Column:
+    """The first of the named columns that df has; null without any."""
+    return next((F.col(n) for n in names if n in df.columns), F.lit(None).cast("string"))
+
+
+def union_count(df: DataFrame, names: Sequence[str] = R.UNION_COUNT_NAMES, mentions: str = "org_mentions") -> Column:
+    """The first count column that is there, if it holds a number, else the length of the list."""
+    return F.coalesce(safe_int(first_column(df, names)), F.size(split_list(F.col(mentions))).cast("long"))
+
+
+def parsed_counts(c: Column) -> Column:
+    """`TYPE:n ; TYPE:n` as a map; parts without a number are left out, of equal types the last counts."""
+    parts = F.filter(F.transform(split_list(c), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("t"), safe_int(F.substring(x, F.instr(x, ":") + 1, 1 << 30)).alias("n"))), lambda x: x["n"].isNotNull())
+    last = F.filter(parts, lambda x, i: ~F.exists(F.slice(parts, i + 2, F.size(parts)), lambda y: y["t"] == x["t"]))
+    return F.map_from_entries(last)
+
+
+def removed_by_type(types: Column, kept: Column) -> Column:
+    """How many of each type went: listed less kept, where that is over 0, as `TYPE:n` by type."""
+    counted = parsed_counts(kept)
+    rows = F.transform(F.array_sort(F.array_distinct(types)), lambda t: F.struct(t.alias("t"), (F.size(F.filter(types, lambda x: x == t)) - F.coalesce(F.try_element_at(counted, t), F.lit(0))).alias("n")))
+    return F.array_join(F.transform(F.filter(rows, lambda x: x["n"] > 0), lambda x: F.concat(x["t"], F.lit(":"), x["n"].cast("string"))), R.SEPARATOR)
+
+
+def clean_columns(rows: DataFrame) -> DataFrame:
+    """CLEAN_COLUMNS of a prefilter's table: its counts and lists under whatever name they come, how many mentions went and of which types.
+
+    Columns that rows lacks are empty.
+    """
+    text = lambda n: F.coalesce(F.col(n).cast("string"), F.lit("")) if n in rows.columns else F.lit("")
+    union = F.coalesce(first_column(rows, R.UNION_NAMES).cast("string"), F.lit(""))
+    size = lambda c: F.size(split_list(c))
+    made = {
+        "org_mentions_union": union, "org_mentions_union_count": F.coalesce(first_column(rows, R.UNION_COUNT_NAMES[:2]).cast("string"), size(union).cast("string")),
+        "org_mentions_removed_count": (size(union) - size(text("org_mentions_union_filtered"))).cast("string"),
+        "org_mentions_removed_count_by_type": removed_by_type(split_list(text("mention_types_union")), text("prefilter_keep_count_by_type")),
+    }
+    return rows.select(*[made.get(n, text(n)).alias(n) for n in R.CLEAN_COLUMNS])
+
+
+def with_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """df with those of the named columns that it lacks, empty, behind its own."""
+    return df.withColumns({n: F.lit("") for n in names if n not in df.columns})
+
+
 def merge_dot_coms(spans: Column) -> Column:
     """spans: sorted array of struct(text, start, end). `Bill.` right before `com` becomes one span."""
     empty = F.slice(spans, 1, 0)

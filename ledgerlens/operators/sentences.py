@@ -47,13 +47,12 @@ def sentences(filings: DataFrame) -> DataFrame:
 
 def with_cues(rows: DataFrame) -> DataFrame:
     """Adds demotion_reason, cue_group, cue_text, cue_tier. Plain words and one combined test keep most sentences from the single patterns."""
-    s = F.col("sentence")
-    cue = has_word(s, R.CUE_WORDS) & matches(s, (*R.STRICT, *R.CONTEXTUAL, *R.IMPLICIT))
-    rows = rows.withColumn("demotion_reason", F.when(cue, first_reason(s, R.DEMOTIONS)))
+    s, cue = F.col("sentence"), F.col("__cue")
+    guard = has_word(s, R.CUE_WORDS) & matches(s, (*R.STRICT, *R.CONTEXTUAL, *R.IMPLICIT))
+    rows = rows.withColumn("__cue", guard)  # a column of its own, and each of its users too, so that no pattern is tried twice
+    rows = rows.withColumns({"demotion_reason": F.when(cue, first_reason(s, R.DEMOTIONS)), **{n: F.when(cue, first_match(s, p)) for n, p in (("__s", R.STRICT), ("__c", R.CONTEXTUAL), ("__i", R.IMPLICIT))}}).drop("__cue")
     reason = F.col("demotion_reason")
     suppressed = F.coalesce(reason != R.GENERIC_ADVANTAGE, F.lit(False))
-    kinds = [F.when(cue, first_match(s, p)) for p in (R.STRICT, R.CONTEXTUAL, R.IMPLICIT)]
-    rows = rows.select("*", *[k.alias(n) for k, n in zip(kinds, ("__s", "__c", "__i"), strict=True)])
     group = F.when(F.col("__s").isNotNull(), "strict_explicit").when(F.col("__c").isNotNull(), F.when(~suppressed, "contextual_explicit")).when(F.col("__i").isNotNull() & reason.isNull(), "implicit_or_broad")
     rows = rows.withColumn("cue_group", group)
     tier = F.when(F.col("cue_group") == "strict_explicit", 4).when(F.col("cue_group") == "contextual_explicit", 3).when(F.col("cue_group") == "implicit_or_broad", 2)

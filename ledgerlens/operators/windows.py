@@ -24,41 +24,46 @@ def annotated(filings: DataFrame) -> DataFrame:
     return with_headings(with_cues(sentences(filings)))
 
 
-def cue_windows(rows: DataFrame) -> DataFrame:
-    """One window for each sentence with a cue."""
-    group, under = F.col("cue_group"), F.col("under_competition")
+def bounded(rows: DataFrame) -> DataFrame:
+    """Bounds, priority, text and hint of the window of each row; fallbacks are one sentence of the lowest priority."""
+    group, under, fallback = F.col("cue_group"), F.col("under_competition"), F.col("is_fallback")
     near = under | F.col("strict_nearby")
     reach = F.when(group == "strict_explicit", F.when(under, 1).otherwise(0)).when(group == "contextual_explicit", F.when(near, 2).otherwise(1)).otherwise(0)
-    priority = F.when(group == "strict_explicit", F.when(under, 5).otherwise(4)).when(group == "contextual_explicit", F.when(near, 3).otherwise(2)).otherwise(1)
-    rows = rows.filter(group.isNotNull()).withColumn("start_idx", F.greatest(F.lit(0), F.col("idx") - reach)).withColumn("end_idx", F.least(F.col("n_sentences") - 1, F.col("idx") + reach))
+    priority = F.when(group == "strict_explicit", F.when(under, 5).otherwise(4)).when(group == "contextual_explicit", F.when(near, 3).otherwise(2)).when(fallback, 0).otherwise(1)
+    rows = rows.withColumn("start_idx", F.greatest(F.lit(0), F.col("idx") - reach)).withColumn("end_idx", F.least(F.col("n_sentences") - 1, F.col("idx") + reach))
     rows = rows.withColumn("window_text", F.array_join(F.slice("around", F.col("start_idx") - F.greatest(F.lit(0), F.col("idx") - R.REACH) + 1, F.col("end_idx") - F.col("start_idx") + 1), " "))
+    hint = F.when(fallback, "competition_market").otherwise(profile_hint(F.col("window_text"), F.col("heading_category"), group))
     return rows.select(
         "doc_id", F.col("idx").alias("trigger_idx"), "start_idx", "end_idx", "cue_group", "cue_tier", "cue_text", priority.alias("window_priority"), "heading_text", "heading_category",
-        F.col("sentence").alias("trigger_sentence"), "window_text", profile_hint(F.col("window_text"), F.col("heading_category"), group).alias("hint"), F.coalesce("demotion_reason", F.lit("")).alias("demotion_reason"), F.lit(False).alias("is_fallback"),
+        F.col("sentence").alias("trigger_sentence"), "window_text", hint.alias("hint"), F.coalesce("demotion_reason", F.lit("")).alias("demotion_reason"), "is_fallback",
     )
 
 
-def fallback_windows(rows: DataFrame) -> DataFrame:
-    """One window of lowest priority for each block under a competition heading that has no cue after the heading."""
-    blocks = rows.filter("block > 0").groupBy("doc_id", "block").agg(
-        F.min_by("sentence", "idx").alias("heading_text"),
-        F.max(F.col("cue_group").isNotNull() & ~F.col("is_heading")).alias("cued"),
-        F.min(F.when(~F.col("is_heading") & F.col("sentence").rlike(r"(?U)\w"), F.struct("idx", "sentence"))).alias("first"),
-    )
-    found = blocks.filter(~F.col("cued") & F.col("first").isNotNull() & matches(F.col("heading_text"), R.FALLBACK_HEADINGS))
-    at, text = F.col("first.idx"), F.col("first.sentence")
-    return found.select(
-        "doc_id", at.alias("trigger_idx"), at.alias("start_idx"), at.alias("end_idx"), F.lit("heading_fallback_broad").alias("cue_group"), F.lit(1).alias("cue_tier"), F.col("heading_text").alias("cue_text"),
-        F.lit(0).alias("window_priority"), "heading_text", F.lit("competition_heading").alias("heading_category"), text.alias("trigger_sentence"), text.alias("window_text"), F.lit("competition_market").alias("hint"), F.lit("").alias("demotion_reason"), F.lit(True).alias("is_fallback"),
-    )
+def fallback_rows(rows: DataFrame) -> DataFrame:
+    """rows with fallback_heading, set at the first sentence with a word below a competition heading whose block has no cue below it."""
+    block = Window.partitionBy("doc_id", "block").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    body = (F.col("block") > 0) & ~F.col("is_heading") & F.col("sentence").rlike(r"(?U)\w")
+    rows = rows.withColumns({
+        "__heading": F.first("sentence").over(block), "__cued": F.max(F.col("cue_group").isNotNull() & ~F.col("is_heading")).over(block), "__first": F.min(F.when(body, F.col("idx"))).over(block),
+    })
+    found = (F.col("idx") == F.col("__first")) & ~F.col("__cued") & matches(F.col("__heading"), R.FALLBACK_HEADINGS)
+    return rows.withColumn("fallback_heading", F.when(found, F.col("__heading"))).drop("__heading", "__cued", "__first")
 
 
 def candidate_windows(filings: DataFrame) -> DataFrame:
-    """All windows, the best one of each span of sentences."""
-    rows = annotated(filings)
-    every = cue_windows(rows).unionByName(fallback_windows(rows))
+    """All windows, the best one of each span of sentences. Sentences are annotated once: a row has a cue, or a fallback, or neither.
+
+    A null or empty text has no windows; rows that repeat a doc_id are taken for one document's and mix.
+    """
+    rows = fallback_rows(annotated(filings)).filter("cue_group is not null or fallback_heading is not null")
+    # a sentence with a cue is no fallback, as its block then has a cue below the heading
+    group, heading = F.col("cue_group"), F.col("fallback_heading")
+    rows = rows.withColumns({
+        "is_fallback": heading.isNotNull(), "cue_text": F.coalesce(heading, "cue_text"), "cue_tier": F.coalesce("cue_tier", F.lit(1)), "heading_text": F.coalesce(heading, "heading_text"),
+        "heading_category": F.when(heading.isNotNull(), "competition_heading").otherwise(F.col("heading_category")), "demotion_reason": F.when(heading.isNull(), F.col("demotion_reason")), "cue_group": F.coalesce(group, F.lit("heading_fallback_broad")),
+    })
     best = Window.partitionBy("doc_id", "start_idx", "end_idx").orderBy(F.desc("window_priority"), "is_fallback", "trigger_idx")
-    return every.withColumn("__n", F.row_number().over(best)).filter("__n = 1").drop("__n")
+    return bounded(rows).withColumn("__n", F.row_number().over(best)).filter("__n = 1").drop("__n")
 
 
 def export_bucket(group: Column) -> Column:
@@ -78,9 +83,9 @@ def overlap(a: Column, b: Column) -> Column:
 def drop_near_duplicates(windows: DataFrame, threshold: float = R.NEAR_DUPLICATE) -> DataFrame:
     """Greedy within a document by falling priority and tier: a window that overlaps a kept one goes, the first such one is marked.
 
-    A document's windows are few and bounded by its sentences, so they meet in one array; only positions travel.
+    A document's windows are few and bounded by its sentences, so they meet in one array with their columns, and are made once.
     """
-    key = F.struct((-F.col("window_priority")).alias("p"), (-F.col("cue_tier")).alias("t"), F.col("is_fallback").cast("int").alias("f"), F.col("trigger_idx").alias("i"), bigrams(F.col("window_text")).alias("bg"), F.lit(False).alias("dup"))
+    key = F.struct((-F.col("window_priority")).alias("p"), (-F.col("cue_tier")).alias("t"), F.col("is_fallback").cast("int").alias("f"), F.col("trigger_idx").alias("i"), bigrams(F.col("window_text")).alias("bg"), F.lit(False).alias("dup"), F.struct(*windows.columns).alias("row"))
     groups = windows.groupBy("doc_id").agg(F.array_sort(F.collect_list(key)).alias("ws"))
 
     def fold(kept: Column, w: Column) -> Column:
@@ -89,5 +94,14 @@ def drop_near_duplicates(windows: DataFrame, threshold: float = R.NEAR_DUPLICATE
         marked = F.transform(kept, lambda k, i: F.when(i + 1 == first, k.withField("dup", F.lit(True))).otherwise(k))
         return F.when(first > 0, marked).otherwise(F.concat(kept, F.array(w)))
 
-    kept = groups.select("doc_id", F.explode(F.aggregate("ws", F.slice("ws", 1, 0), fold)).alias("w")).select("doc_id", F.col("w.i").alias("trigger_idx"), (F.col("w.f") == 1).alias("is_fallback"), F.col("w.dup").alias("is_deduplicated"))
-    return windows.join(kept, ["doc_id", "trigger_idx", "is_fallback"])
+    return groups.select(F.explode(F.aggregate("ws", F.slice("ws", 1, 0), fold)).alias("w")).select("w.row.*", F.col("w.dup").alias("is_deduplicated"))
+
+
+def export_order() -> list[Column]:
+    """Exported windows by year, company and falling priority, then by place."""
+    return [F.col("filing_year"), F.col("company"), F.desc("window_priority"), F.col("doc_id"), F.col("trigger_idx"), F.col("is_fallback")]
+
+
+def duplicate_candidates(pairs: DataFrame, threshold: float = R.NEAR_DUPLICATE) -> DataFrame:
+    """Pairs of near windows (overlap, hint, other_hint) that overlap by the threshold, or whose hint changes."""
+    return pairs.filter((F.col("overlap") >= threshold) | (F.col("hint") != F.col("other_hint")))

@@ -89,14 +89,26 @@ ORACLES["q_heading_blocks"] = f"{_H} SELECT doc_id, CAST(block AS BIGINT) AS blo
 ORACLES["q_fallback"] = f"{_W} SELECT doc_id, trigger_idx, heading_text, window_text FROM w WHERE is_fallback"
 ORACLES["q_bigram_overlap_pairs"] = f"{_PAIRS} SELECT * FROM pairs"
 ORACLES["q_overlap_histogram"] = f"{_PAIRS} SELECT CAST(floor(overlap * 10 + 1e-9) AS BIGINT) AS decile, count(*) AS n FROM pairs GROUP BY 1"
-ORACLES["q_dedup"] = f"""{_W}, g AS (SELECT doc_id, trigger_idx, is_fallback, window_priority, {_BIGRAMS} AS bg, row_number() OVER (PARTITION BY doc_id ORDER BY window_priority DESC, cue_tier DESC, is_fallback, trigger_idx) AS n FROM w),
+_DEDUP = f"""{_W}, g AS (SELECT doc_id, trigger_idx, is_fallback, window_priority, {_BIGRAMS} AS bg, row_number() OVER (PARTITION BY doc_id ORDER BY window_priority DESC, cue_tier DESC, is_fallback, trigger_idx) AS n FROM w),
  alike AS (SELECT a.doc_id, a.n, b.n AS m FROM g a JOIN g b ON a.doc_id = b.doc_id AND b.n < a.n WHERE len(list_intersect(a.bg, b.bg)) >= 0.75 * len(list_distinct(a.bg || b.bg))),
  lists AS (SELECT g.doc_id, g.n, coalesce(list(m ORDER BY m) FILTER (WHERE m IS NOT NULL), []) AS ms FROM g LEFT JOIN alike a ON g.doc_id = a.doc_id AND g.n = a.n GROUP BY ALL),
  folded AS (SELECT doc_id, list_reduce(list(struct_pack(kept := CAST([n] AS BIGINT[]), hit := CAST([] AS BIGINT[]), ms := CAST(ms AS BIGINT[])) ORDER BY n), lambda acc, x: CASE WHEN len(list_intersect(acc.kept, x.ms)) > 0
-    THEN struct_pack(kept := acc.kept, hit := acc.hit || [list_min(list_intersect(acc.kept, x.ms))], ms := acc.ms) ELSE struct_pack(kept := acc.kept || x.kept, hit := acc.hit, ms := acc.ms) END) AS r FROM lists GROUP BY doc_id)
- SELECT g.doc_id, g.trigger_idx, g.is_fallback, list_contains(r.hit, g.n) AS is_deduplicated, g.window_priority FROM g JOIN folded f ON g.doc_id = f.doc_id WHERE list_contains(r.kept, g.n)"""
+    THEN struct_pack(kept := acc.kept, hit := acc.hit || [list_min(list_intersect(acc.kept, x.ms))], ms := acc.ms) ELSE struct_pack(kept := acc.kept || x.kept, hit := acc.hit, ms := acc.ms) END) AS r FROM lists GROUP BY doc_id),
+ kept AS (SELECT g.doc_id, g.trigger_idx, g.is_fallback, list_contains(r.hit, g.n) AS is_deduplicated, g.window_priority FROM g JOIN folded f ON g.doc_id = f.doc_id WHERE list_contains(r.kept, g.n))"""
+ORACLES["q_dedup"] = f"{_DEDUP} SELECT * FROM kept"
+ORACLES["q_audit_summary"] = f"""{_DEDUP}, k AS (SELECT w.* FROM w JOIN kept USING (doc_id, trigger_idx, is_fallback)), per AS (SELECT doc_id, bool_and(is_fallback) AS r FROM k GROUP BY 1)
+ SELECT (SELECT count(*) FROM filings) AS files, (SELECT count(*) FROM per) AS files_with_windows, (SELECT count_if(r) FROM per) AS rescued_files, (SELECT count(*) FROM filings) - (SELECT count(*) FROM per) AS files_without_windows,
+  (SELECT count(*) FROM w) AS windows_before, count(*) AS windows_after, count_if(is_fallback) AS fallback_windows, round(avg(length(window_text)), 6) AS mean_chars FROM k"""
 ORACLES["q_buckets"] = f"{_W} SELECT {_BUCKET} AS export_bucket, count(*) AS n, round(avg(length(window_text)), 6) AS mean_chars FROM w GROUP BY 1"
-ORACLES["q_audit_counts"] = f"{_W} SELECT tier, cue_group, hint, priority, count(*) AS n FROM (SELECT CAST(cue_tier AS VARCHAR) AS tier, cue_group, hint, CAST(window_priority AS VARCHAR) AS priority FROM w) GROUP BY GROUPING SETS ((tier), (cue_group), (hint), (priority))"
+_COUNTS = "(SELECT unnest([struct_pack(key := 'tier', value := CAST(cue_tier AS VARCHAR)), struct_pack(key := 'cue_group', value := cue_group), struct_pack(key := 'section', value := 'business'), struct_pack(key := 'hint', value := hint), struct_pack(key := 'priority', value := CAST(window_priority AS VARCHAR)), struct_pack(key := 'cue', value := lower(cue_text)), struct_pack(key := 'demotion', value := nullif(demotion_reason, ''))]) AS x FROM w)"
+ORACLES["q_audit_counts"] = f"{_W} SELECT x.key AS key, x.value AS value, count(*) AS n FROM {_COUNTS} WHERE x.value IS NOT NULL GROUP BY ALL"
+ORACLES["q_demotion_top"] = f"{_C} SELECT reason AS demotion_reason, count(*) AS n FROM cues WHERE reason IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10"
+ORACLES["q_dedup_candidates"] = f"""{_W}, g AS (SELECT doc_id, trigger_idx, start_idx, end_idx, hint, {_BIGRAMS} AS bg FROM w), pairs AS (SELECT a.doc_id, a.trigger_idx, b.trigger_idx AS other_idx, a.hint, b.hint AS other_hint,
+  round(CASE WHEN len(list_distinct(a.bg || b.bg)) = 0 THEN 1.0 ELSE len(list_intersect(a.bg, b.bg)) / len(list_distinct(a.bg || b.bg)) END, 6) AS overlap FROM g a JOIN g b ON a.doc_id = b.doc_id AND b.trigger_idx > a.trigger_idx AND b.start_idx - a.end_idx BETWEEN 0 AND 5)
+ SELECT doc_id, trigger_idx, other_idx, overlap, hint, other_hint FROM pairs WHERE overlap >= 0.75 OR hint <> other_hint"""
+ORACLES["q_export_order"] = f"{_W} SELECT printf('W%07d', row_number() OVER (ORDER BY filing_year, company, window_priority DESC, doc_id, trigger_idx, is_fallback)) AS position, doc_id, trigger_idx, is_fallback FROM w JOIN filings USING (doc_id)"
+ORACLES["q_union_sample"] = f"{_W} SELECT id AS window_id FROM (SELECT printf('%d-%d-%d', doc_id, trigger_idx, CAST(is_fallback AS INT)) AS id, cue_text FROM w WHERE cue_group IN ('strict_explicit', 'contextual_explicit')) WHERE cue_text <> 'ecosystem' ORDER BY md5('42:' || id), id LIMIT 100"
+ORACLES["q_contains"] = f"{_F} SELECT doc_id, company FROM filings WHERE company LIKE '%Trust%' ORDER BY doc_id LIMIT 15"
 ORACLES["q_rescued"] = f"{_W} SELECT doc_id FROM w GROUP BY doc_id HAVING bool_and(is_fallback)"
 ORACLES["q_zero_window_files"] = f"{_W} SELECT doc_id, stem FROM filings WHERE doc_id NOT IN (SELECT doc_id FROM w)"
 ORACLES["q_explicit"] = f"{_W} SELECT printf('EXPW%07d', row_number() OVER (ORDER BY doc_id, cue_text, window_text, cue_group, window_priority, b)) AS explicit_id, doc_id, cue_group, cue_text, window_text FROM (SELECT DISTINCT doc_id, cue_group, cue_text, window_text, window_priority, {_BUCKET} AS b FROM w WHERE cue_group IN ('strict_explicit', 'contextual_explicit'))"
@@ -210,3 +222,25 @@ _HEAD = "(SELECT *, substring(text, CASE WHEN doc_id % 2 = 0 THEN 18 ELSE 1 END,
 _ONLY = f"(({has('h', [R.COMPETITION_HEAD])} AND NOT {has('h', [R.BUSINESS_HEAD])}) OR ({has('h', [R.COMPETITION_WORD])} AND NOT {has('h', [R.BUSINESS_HEAD])} AND NOT contains(lower(left(h, 300)), 'business')))"
 ORACLES["q_competition_only"] = f"{_F} SELECT filing_year, count_if({_ONLY}) AS competition_only, round(100.0 * count_if({_ONLY}) / count(*), 6) AS share FROM {_HEAD} GROUP BY 1"
 ORACLES["q_sample"] = f"{_F} SELECT doc_id FROM filings ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 25"
+
+ORACLES["q_append_status"] = f"""{_F}, x AS (SELECT CASE WHEN doc_id % 3 = 0 THEN 'missing_section' WHEN doc_id % 5 = 0 THEN 'no_business_file' WHEN doc_id % 4 = 0 THEN 'already_appended' ELSE '' END AS reason FROM filings)
+ SELECT CASE WHEN reason = '' THEN 'appended' ELSE 'skipped' END AS status, reason, count(*) AS n FROM x GROUP BY ALL"""
+ORACLES["q_content_fallback"] = f"{_F} SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'business+competition' ELSE (CASE doc_id % 4 WHEN 0 THEN 'risk' WHEN 1 THEN 'business' WHEN 2 THEN 'competition' END) END AS section_type FROM filings"
+ORACLES["q_overlay"] = f"{_M} SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Given Name' ELSE company_name END AS company_name, CASE WHEN doc_id % 4 = 0 THEN '77' ELSE submitter_cik END AS submitter_cik FROM parsed"
+ORACLES["q_first_present"] = f"{_F} SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'a/b' || cik ELSE stem END AS path FROM filings WHERE doc_id % 2 = 0 OR doc_id % 3 <> 0"
+ORACLES["q_node_cik"] = f"{_F} SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id + 5000 AS VARCHAR) ELSE cik END AS cik, doc_id % 3 = 0 AS from_raw FROM filings"
+ORACLES["q_unique_ciks"] = f"{_M}, {_NODES} SELECT count(DISTINCT cik) AS n FROM nodes"
+ORACLES["q_ticker_scores"] = "SELECT s_suppkey AS row_id, CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'EQ' || CAST(s_suppkey AS VARCHAR) END AS ticker FROM supplier"
+ORACLES["q_removed_by_type"] = f"""WITH {_LABELED}, counted AS (SELECT s.row_id, s.names, s.types, (SELECT count(*) FROM labeled l WHERE l.row_id = s.row_id AND l.label = 'keep') AS kept FROM lists s)
+ SELECT CAST(row_id AS VARCHAR) AS window_id, array_to_string(names, ' ; ') AS org_mentions_union, CAST(len(names) AS VARCHAR) AS org_mentions_union_count, CAST(len(names) - kept AS VARCHAR) AS org_mentions_removed_count,
+  CASE WHEN len(types) = 3 THEN 'COMPANY:1 ; REGION:1' ELSE 'COMPANY:1' END AS org_mentions_removed_count_by_type, '' AS cue_phrase FROM counted"""
+ORACLES["q_union_count"] = f"WITH {_LABELED} SELECT row_id, CASE WHEN row_id % 2 = 0 THEN CAST('1' || CAST(row_id AS VARCHAR) AS BIGINT) ELSE len(names) END AS n FROM lists"
+ORACLES["q_resume"] = f"{_F} SELECT doc_id AS row_index, CASE WHEN doc_id % 3 = 0 THEN 'COMPANY' END AS llm_label FROM filings"
+ORACLES["q_label_driver"] = f"{_F} SELECT doc_id AS row_index, CASE WHEN company LIKE '%Trust%' THEN 'Non coporate AGENCY' ELSE 'COMPANY' END AS llm_label, company AS llm_owner_company_candidate FROM filings"
+ORACLES["q_span_sentence"] = "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'First one.' WHEN 1 THEN p_name || ' stands here.' WHEN 2 THEN 'Last.' ELSE '' END AS sentence FROM part"
+ORACLES["q_attributes"] = """SELECT p_partkey, a AS attribute, CASE WHEN p_partkey % 7 < 2 THEN 'TICKER' WHEN a = 'LOC' THEN 'REGION' WHEN a = 'PRODUCT' THEN 'ComputingProduct' ELSE 'ORGANIZATION' END AS type
+ FROM (SELECT *, CASE p_partkey % 5 WHEN 1 THEN 'LOC' WHEN 2 THEN 'PRODUCT' WHEN 3 THEN 'LOC' ELSE 'ORG' END AS a FROM part)"""
+ORACLES["q_span_scores"] = """WITH c AS (SELECT count_if(p_partkey % 6 < 4) AS met, count_if(p_partkey % 6 IN (0, 3)) AS strict, count_if(p_partkey % 6 IN (0, 2, 3)) AS exact, count_if(p_partkey % 6 IN (0, 1, 3)) AS kind, count_if(p_partkey % 6 <> 5) AS gold, count_if(p_partkey % 6 <> 4) AS found FROM part),
+ s AS (SELECT *, unnest([struct_pack(scheme := 'strict', correct := strict, partial := 0, incorrect := met - strict), struct_pack(scheme := 'exact', correct := exact, partial := 0, incorrect := met - exact), struct_pack(scheme := 'partial', correct := exact, partial := met - exact, incorrect := 0), struct_pack(scheme := 'type', correct := kind, partial := 0, incorrect := met - kind)]) AS x FROM c)
+ SELECT x.scheme AS scheme, x.correct AS correct, x.incorrect AS incorrect, x.partial AS partial, gold - met AS missed, found - met AS spurious, round((x.correct + x.partial / 2) / found, 6) AS precision, round((x.correct + x.partial / 2) / gold, 6) AS recall FROM s"""
+ORACLES["q_node_files"] = f"{_M}, {_NODES} SELECT 'nodes' AS file, count(*) AS n FROM nodes UNION ALL SELECT 'issues', 0 UNION ALL SELECT 'excluded', count(DISTINCT company_name) FROM parsed WHERE {_EXCLUDED.replace('{}', 'company_name')}"

@@ -10,7 +10,7 @@ SELECT doc_id, concat('2024-0', CAST(1 + doc_id % 9 AS VARCHAR(2)), '-15__', com
        company, CAST(cik AS VARCHAR(12)) AS cik, 2023 + doc_id % 2 AS filing_year,
        concat('ITEM 1. BUSINESS', nl, 'We were founded in the U.S. and make goods, e.g. ', p_name, '.', nl, body, nl,
          CASE doc_id % 8
-           WHEN 0 THEN concat('COMPETITION', nl, 'Our principal competitors include ', c_name, ', Inc. and ', s_name, '.')
+           WHEN 0 THEN concat('COMPETITION', nl, 'Our principal competitors include ', c_name, ', Inc. and ', s_name, '.', nl, 'Of these ', c_name, ' is the larger one.')
            WHEN 1 THEN concat('We operate in a highly competitive market.', nl, 'We compete with ', c_name, ' in Europe.')
            WHEN 2 THEN 'We operate in a highly competitive market for our customers.'
            WHEN 3 THEN 'Barriers to entry are low.'

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .operators import cleaning, explicit, manifest, mentions, policy, windows
+from .operators import audit, cleaning, explicit, labeling, manifest, mentions, offsets, policy, providers, windows
 from .operators.sentences import sentences, with_cues, with_headings
 from .plans.filings import filings
 
@@ -101,8 +101,47 @@ def q_buckets(spark, sf):
 
 @query
 def q_audit_counts(spark, sf):
-    w = _windows(spark, sf).select(F.col("cue_tier").cast("string").alias("tier"), "cue_group", "hint", F.col("window_priority").cast("string").alias("priority"))
-    return w.groupingSets([["tier"], ["cue_group"], ["hint"], ["priority"]], "tier", "cue_group", "hint", "priority").agg(F.count("*").alias("n"))
+    return audit.counts(audit.keyed(_windows(spark, sf), F.lit("business")))
+
+
+@query
+def q_audit_summary(spark, sf):
+    w = _windows(spark, sf)
+    return audit.summary(w, filings(spark, sf), windows.drop_near_duplicates(w))
+
+
+@query
+def q_demotion_top(spark, sf):
+    rows = with_cues(sentences(filings(spark, sf))).filter("demotion_reason is not null").groupBy("demotion_reason").agg(F.count("*").alias("n"))
+    return manifest.first_rows(rows, 10, F.desc("n"), "demotion_reason")
+
+
+@query
+def q_dedup_candidates(spark, sf):
+    w = _windows(spark, sf).select("doc_id", "trigger_idx", "start_idx", "end_idx", "hint", windows.bigrams(F.col("window_text")).alias("bg"))
+    b = w.select("doc_id", F.col("trigger_idx").alias("other_idx"), F.col("start_idx").alias("other_start"), F.col("hint").alias("other_hint"), F.col("bg").alias("other_bg"))
+    near = (F.col("other_idx") > F.col("trigger_idx")) & (F.col("other_start") - F.col("end_idx")).between(0, 5)
+    pairs = w.join(b, "doc_id").filter(near).withColumn("overlap", F.round(windows.overlap(F.col("bg"), F.col("other_bg")), 6))
+    return windows.duplicate_candidates(pairs).select("doc_id", "trigger_idx", "other_idx", "overlap", "hint", "other_hint")
+
+
+@query
+def q_export_order(spark, sf):
+    rows = _windows(spark, sf).join(filings(spark, sf).select("doc_id", "filing_year", "company"), "doc_id").select("filing_year", "company", "window_priority", "doc_id", "trigger_idx", "is_fallback")
+    return explicit.numbered(rows, windows.export_order(), "W", "position").select("position", "doc_id", "trigger_idx", "is_fallback")
+
+
+@query
+def q_union_sample(spark, sf):
+    w = _identified(spark, sf).select("window_id", "cue_group", "cue_text", "window_priority")
+    both = w.filter("cue_group = 'strict_explicit'").unionByName(w.filter("cue_group in ('contextual_explicit', 'strict_explicit')"))
+    once = manifest.first_by_key(both, ["window_id"], [F.desc("window_priority")])
+    return manifest.sample_rows(once.filter("cue_text <> 'ecosystem'").select("window_id"), "window_id", 100, 42)
+
+
+@query
+def q_contains(spark, sf):
+    return manifest.first_rows(filings(spark, sf).filter(F.contains(F.col("company"), F.lit("Trust"))).select("doc_id", "company"), 15, "doc_id")
 
 
 @query
@@ -282,11 +321,151 @@ def q_sections(spark, sf):
 
 @query
 def q_routes(spark, sf):
-    out = None
-    for mode in ("canonical", "strict", "lenient"):
-        r = cleaning.route(filings(spark, sf), mode).groupBy("route").agg(F.count("*").alias("n")).withColumn("mode", F.lit(mode))
-        out = r if out is None else out.unionByName(r)
-    return out
+    modes = ("canonical", "strict", "lenient")
+    rows = cleaning.route_features(filings(spark, sf)).select("doc_id", "has_business_header", "has_competition_header", "has_term", "sections")
+    for mode in modes:  # the features are made once, each mode only decides
+        rows = cleaning.route(rows, mode).withColumnRenamed("route", f"in_{mode}").drop("section_source", "section_text")
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("mode"), F.col(f"in_{m}").alias("route")) for m in modes]))
+    return rows.select(pairs.alias("x")).groupBy("x.mode", "x.route").agg(F.count("*").alias("n"))
+
+
+@query
+def q_isolated(spark, sf):
+    return cleaning.route(filings(spark, sf)).filter(F.startswith("route", F.lit("isolated/"))).select("doc_id", "stem", "route")
+
+
+@query
+def q_append_status(spark, sf):
+    f = filings(spark, sf)
+    own = F.concat(F.lit("Item 1. Business\n"), F.repeat(F.lit("We make goods. "), 60), F.lit("\nCompetition\n"), F.repeat(F.lit("Rivals are many. "), 30), F.lit("\nItem 1A. Risk"))
+    cleaned = f.select("stem", F.when(F.col("doc_id") % 3 == 0, F.lit("No headings.")).otherwise(own).alias("text"))
+    from .rules import filings as R
+
+    files = f.filter("doc_id % 5 <> 0").select("stem", F.when(F.col("doc_id") % 4 == 0, F.lit("x" + R.APPEND_MARK + "y")).otherwise("x").alias("content"))
+    return cleaning.append_status(cleaned, files).groupBy("status", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def q_content_fallback(spark, sf):
+    f = filings(spark, sf)
+    head = F.element_at(F.array(F.lit("Section: Risk\n"), F.lit("Item 1. Business\n"), F.lit("Item 1 our competition\n"), F.lit("")), (F.col("doc_id") % 4 + 1).cast("int"))
+    return f.select("doc_id", manifest.content_section_type(F.concat(head, F.substring("company", 1, 20)), F.col("doc_id") % 9 == 0).alias("section_type"))
+
+
+@query
+def q_overlay(spark, sf):
+    parsed = manifest.parse_stem(filings(spark, sf)).select("doc_id", "company_name", "submitter_cik")
+    given = filings(spark, sf).select("doc_id", F.when(F.col("doc_id") % 3 == 0, "Given Name").when(F.col("doc_id") % 3 == 1, " ").alias("company_name"), F.when(F.col("doc_id") % 4 == 0, "77").alias("submitter_cik"))
+    return manifest.overlay(parsed, given, "doc_id", ["company_name", "submitter_cik"])
+
+
+@query
+def q_first_present(spark, sf):
+    rows = filings(spark, sf).select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("a\\b"), "cik")).otherwise("").alias("business_path"), F.when(F.col("doc_id") % 3 == 0, " ").otherwise(F.col("stem")).alias("source_file"))
+    return rows.select("doc_id", manifest.first_present(rows.columns).alias("path")).filter("path is not null")
+
+
+@query
+def q_node_cik(spark, sf):
+    files = manifest.parse_stem(filings(spark, sf)).select("doc_id", "stem", "submitter_cik")
+    raw = filings(spark, sf).filter("doc_id % 3 = 0").select(F.upper(F.regexp_replace("stem", "_business$", "")).alias("stem"), F.concat(F.lit("00"), (F.col("doc_id") + 5000).cast("string")).alias("cik"), F.lit(1).alias("seen"))
+    again = raw.withColumn("cik", F.lit("9")).withColumn("seen", F.lit(2))
+    return manifest.node_cik(files, raw.unionByName(again)).select("doc_id", "cik", "from_raw")
+
+
+@query
+def q_unique_ciks(spark, sf):
+    return manifest.company_nodes(_manifest(spark, sf))[0].agg(F.countDistinct("cik").alias("n"))
+
+
+@query
+def q_ticker_scores(spark, sf):
+    p = spark.read.parquet(f"{sf}/supplier.parquet")
+    k = F.col("s_suppkey")
+    hits = [(0, "funds", "FUND", "Fund of "), (1, "EQUITY", "EQ", "Other "), (2, "stock", "ST", "Supplier "), (3, "equity", " ", "Supplier ")]
+    every = F.explode(F.array(*[F.struct(F.lit(n).alias("position"), F.lit(kind).alias("kind"), (F.concat(F.lit(sym.lower()), k.cast("string")) if sym.strip() else F.lit(sym)).alias("symbol"), F.concat(F.lit(text), F.col("s_name")).alias("name")) for n, kind, sym, text in hits]))
+    quotes = p.filter(k % 4 != 0).select(F.lower("s_name").alias("query"), every.alias("x")).select("query", "x.*")
+    return providers.best_tickers(p.select(k.alias("row_id"), F.upper("s_name").alias("company_name")), providers.TableProvider(quotes)).select("row_id", "ticker")
+
+
+@query
+def q_removed_by_type(spark, sf):
+    rows = policy.prefilter(_mention_rows(spark, sf))
+    rows = rows.withColumn("org_mentions_union_raw", F.col("org_mentions")).withColumn("org_mentions_union_filtered", F.col("mentions_keep")).withColumn("mention_types_union", F.col("mention_types")).withColumn("prefilter_keep_count_by_type", F.lit("PRODUCT:1 ; bad ; X:y"))
+    return policy.clean_columns(rows.withColumn("window_id", F.col("row_id").cast("string"))).select("window_id", "org_mentions_union", "org_mentions_union_count", "org_mentions_removed_count", "org_mentions_removed_count_by_type", "cue_phrase")
+
+
+@query
+def q_union_count(spark, sf):
+    rows = _mention_rows(spark, sf).withColumn("org_mentions_count", F.when(F.col("row_id") % 2 == 0, F.concat(F.lit(" 1"), F.col("row_id").cast("string"))).otherwise("1.5"))
+    return rows.select("row_id", policy.union_count(rows).alias("n"))
+
+
+@query
+def q_resume(spark, sf):
+    rows = filings(spark, sf).select(F.col("doc_id").alias("row_index"), "company")
+    before = rows.select("row_index", F.when(F.col("row_index") % 3 == 0, "COMPANY").when(F.col("row_index") % 3 == 1, " ").alias("llm_label"))
+    return labeling.resumed(rows, before).select("row_index", "llm_label")
+
+
+@query
+def q_label_driver(spark, sf):
+    from .sources import writers
+
+    rows = filings(spark, sf).select(F.col("doc_id").alias("row_index"), F.col("company").alias("mention_org"))
+    return labeling.label_batches(writers.label_requests(rows, ["mention_org"], 25), stub_labeler, wait=0.0).select("row_index", "llm_label", "llm_owner_company_candidate")
+
+
+def stub_labeler(request: str) -> str:
+    """Stands in for the service: names with Trust are agencies, others companies; its first answer to a request lacks a row."""
+    import json
+
+    asked = json.loads(request)
+    items = json.loads(asked["request"])["items"] if "error" in asked else asked["items"][1:]
+    label = lambda name: "Non coporate AGENCY" if "Trust" in name else "COMPANY"
+    return "```json\n" + json.dumps({"labels": [{"row_index": x["row_index"], "llm_label": label(x["mention_org"]), "llm_owner_company_candidate": x["mention_org"]} for x in items]}) + "\n```"
+
+
+@query
+def q_offsets(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null").select("doc_id", F.concat(F.lit("a\u200b \n\t"), "text").alias("text")).withColumn("n", offsets.normalized_with_offsets("text"))
+    span = offsets.original_span(F.col("n"), F.lit(1), F.lit(3))
+    return rows.select("doc_id", F.length("n.clean").cast("bigint").alias("n_chars"), F.md5("n.clean").alias("digest"), span["start"].cast("bigint").alias("start"), span["end"].cast("bigint").alias("end"))
+
+
+@query
+def q_span_sentence(spark, sf):
+    p = spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", F.concat(F.lit("First one. "), "p_name", F.lit(" stands here. Last.")).alias("text"))
+    n = F.length("text")
+    bounds = F.array(F.struct(F.lit(0).alias("start"), F.lit(10).alias("end")), F.struct(F.lit(11).alias("start"), (n - 6).alias("end")), F.struct((n - 5).alias("start"), n.alias("end")))
+    at = F.element_at(F.array(F.lit(2), F.lit(12), n - 3, n + 5), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return p.select("p_partkey", offsets.sentence_of_span(F.col("text"), bounds, at, at + 2).alias("sentence"))
+
+
+@query
+def q_attributes(spark, sf):
+    p = spark.read.parquet(f"{sf}/part.parquet")
+    sets = [("ORG",), ("B-org", "I-LOC"), ("product", "MISC"), ("LOC", "PRODUCT"), ("MISC",)]
+    labels = F.element_at(F.array(*[offsets.labels_of(x) for x in sets]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    name = F.when(F.col("p_partkey") % 7 == 0, " ABC ").when(F.col("p_partkey") % 7 == 1, "BRK.A").otherwise(F.col("p_brand"))
+    rows = p.select("p_partkey", name.alias("name"), offsets.entity_attribute(labels).alias("attribute"))
+    return rows.select("p_partkey", "attribute", offsets.typed(F.col("name"), F.col("attribute")).alias("type"))
+
+
+@query
+def q_span_scores(spark, sf):
+    p = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").cast("string").alias("window_id"), F.col("p_partkey").alias("k"))
+    gold = p.filter("k % 6 <> 5").select("window_id", F.lit(0).alias("start"), F.lit(8).alias("end"), F.lit("ORG").alias("type"))
+    found = p.filter("k % 6 <> 4").select("window_id", F.when(F.col("k") % 6 == 1, 2).otherwise(0).alias("start"), F.lit(8).alias("end"), F.when(F.col("k") % 6 == 2, "LOC").otherwise("ORG").alias("type"))
+    return offsets.span_scores(gold, found)
+
+
+@query
+def q_node_files(spark, sf):
+    nodes, issues = manifest.company_nodes(_manifest(spark, sf))
+    excluded = manifest.parse_stem(filings(spark, sf)).filter(manifest.is_excluded(F.col("company_name"))).select("company_name").distinct()
+    counts = [d.agg(F.count("*").alias("n")).withColumn("file", F.lit(n)) for n, d in (("nodes", nodes), ("issues", issues), ("excluded", excluded))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 @query

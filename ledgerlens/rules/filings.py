@@ -21,8 +21,8 @@ JUNK_LINES = (
 )
 BLOCKS = ("ix:header", "ix:hidden", "ix:references", "ix:resources", "xbrli:context", "xbrli:unit", "xbrli:entity", "xbrli:period", "xbrldi:explicitmember", "xbrldi:typedmember")
 DROPPED_TAGS = ("script", "style", "noscript", "head", "meta", "link", "svg", "img", "object", "iframe", "footer", "nav", "form")
-BLOCK_TAGS = ("p", "div", "br", "tr", "li", "h1", "h2", "h3", "h4", "h5", "h6", "table", "section")
-PREAMBLE = (r"\bform\s+10-k\b", r"\bannual\s+report\s+pursuant\s+to\s+section\s+13\s+or\s+15\s*\(d\)", r"\bpart\s+i\b")
+BLOCK_TAGS = ("br", "p", "div", "li", "tr", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6")
+PREAMBLE = (r"\bform\s+10-k\b", r"\bannual\s+report\s+pursuant\s+to\s+section\s+13\s+or\s+15\s*\(d\)\b", r"\bpart\s+i\b")
 PRIMARY_TYPES = ("10K", "10-K405", "10-KT", "10KSB")
 # Names that are no company nodes.
 EXCLUDED_NAMES = (
@@ -31,3 +31,14 @@ EXCLUDED_NAMES = (
 )
 COMPETITION_HEAD, BUSINESS_HEAD, COMPETITION_WORD = r"\bitem\s*1\s*[^\n]{0,80}\bcompetition\b", r"\bitem\s*1\s*[^\n]{0,80}\bbusiness\b", r"\b(competition|competitive|competitor|compete)\b"
 LARGE_CHARS, HEAD_CHARS = 200_000, 8000
+HEADER_ONLY_LENGTH, CONTENT_HEAD_CHARS = (20, 499), 4096
+# A section type named in a text's head, and headings that tell it.
+NAMED_SECTION = r"(?:section[_\s]*type|section)\s*[:\-]\s*(\w+)"
+HEAD_SECTIONS = ((r"^\s*item\s*1\s*[.\-:]?\s*business\b", "business"), (r"^\s*item\s*1\s*[.\-:]?\s*(our\s+)?competition\b", "competition"))
+# Columns that may name a file, first to last; folders of cleaned filings by year.
+FILE_COLUMNS = ("business_file", "business_path", "file_path", "extracted_file", "cleaned_file", "cleaned_path", "source_file", "source_path")
+CLEANED_FOLDER = r"^(\d{4})_10k_cleaned$"
+# Tokens of taxonomies, members and addresses; page numbers; headings of parts and items; line breaks before these.
+ODD_TOKENS = (r"(?i)\b(?:us-gaap|dei|xbrli|xbrldi|ix|ixt|srt|stpr|iso4217|country|ecd):[A-Za-z0-9_.#/-]+\b", r"\b[A-Za-z][A-Za-z0-9_.-]*Member\b", r"https?://\S+")
+PAGE_NUMBER, HEADING_LINE = r"^(?:-\s*)?\d{1,4}(?:\s*-)?$", r"(?i)^(part\s+[ivx]+|item\s+\d+[a-z]?)\b"
+BROKEN_BEFORE = (r"(?<!\n)\b(PART\s+[IVX]+)\b", r"(?<!\n)\b(ITEM\s+\d+[A-Z]?)\b")

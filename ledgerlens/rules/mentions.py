@@ -1,13 +1,29 @@
 """The keep, drop and review policy of organisation mentions, and the label rules.
 
-Which exact strings are dropped is a parameter of the policy (a corpus has hundreds); DROP holds the general words.
+Which exact strings are dropped is a parameter of the policy; DROP is its default.
 """
 
 # Exact strings, compared in lower case.
 KEEP = ("x", "abi", "aws")
 DROP = (
-    "company", "bank", "charter", "board", "committee", "registrant", "filing", "shareholder", "shareholders", "stockholder", "stockholders", "llc", "llp", "l.l.c.", "l.p.", "plc",
-    "inc", "inc.", "corp", "corp.", "com", "initial public offering", "supply chain services", "european", "asian", "chinese", "phase 1", "phase 2", "phase 3", "therapeutics",
+    "company", "bank", "charter", "board", "committee", "registrant", "filing", "shareholder", "shareholders", "stockholder", "stockholders", "llc", "llp", "l.l.c.",
+    "l.p.", "plc", "p.c.", "p.l.l.c.", "inc", "inc.", "corp", "corp.", "co.", "co", "ltd", "ltd.", "corporation", "incorporated", "limited", "nv", "n.v.", "s.a.", "ag",
+    "kgaa", "sa", "internet", "european", "north american", "non-north american", "asian", "latin american", "middle eastern", "african", "scandinavian", "oceanian",
+    "in", "chinese", "canadian", "spanish", "the internet", "fintech", "martech", "bdc", "hotel", "residential", "learners", "type", "lng", "eds", "operations",
+    "functional", "global technology", "research and development", "human capital", "401k", "401(k)", "use authorization", "pneumatic comfort technologies", "acoustics",
+    "south korean company", "commercial automobile program", "car's commercial automobile program", "the business combination", "business combination",
+    "initial business combination", "initial public offering", "the initial public offering", "private placement", "private placement warrants", "public offering",
+    "comprehensive plan for add", "supply chain services", "performance services", "com", "net", "org", "fda", "usda", "fha", "national cancer institute",
+    "the national cancer institute", "federal reserve", "the federal reserve", "federal reserve bank", "the federal reserve bank", "u.s. international trade commission",
+    "the u.s. international trade commission", "usitc", "european commission", "the european commission", "u.s. department of energy", "u.s. department of treasury",
+    "the u.s. department of treasury", "u.s. navy", "u.s. government", "the u.s. government", "gse", "gses", "sec", "ftc", "irs", "epa", "osha", "nih", "cdc", "hhs",
+    "cms", "ofac", "cftc", "finra", "occ", "fdic", "fcc", "fema", "dea", "atf", "fbi", "nhtsa", "uspto", "doj", "treasury", "the treasury", "medicare", "medicaid",
+    "congress", "1940 act", "orange book", "the orange book", "covid-19", "lgbtq", "anda", "nda", "snda", "bla", "maa", "phase 1", "phase 2", "phase 3", "phase 1b",
+    "phase 2b", "phase 3b", "cdk", "cdk9", "cd", "aml", "mll", "npm1", "pah", "ms", "btk", "pcnsl", "pcns", "bcl", "fl", "ce", "sars", "cov", "ec", "meni", "ccenture",
+    "ffymetrix, inc", "ffymetrix, inc.", "ica biosystems, inc", "ica biosystems, inc.", "eophysical technologies", "uvasive, inc", "uvasive, inc.",
+    "yndax pharmaceuticals, inc.", "yndax pharmaceuticals, inc", "ioenergy devco", "rbella mutual insurance company", "be", "cton dickinson", "rid dynamics", "knowb",
+    "cy", "bersecurity", "sanita", "ware", "ava", "ility, llc", "fosys", "eistlich pharma ag", "ualtrics international inc", "ioventus inc", "rimient", "st",
+    "rata oncology, inc", "pre", "therapeutics", "pt", "pa",
 )
 REVIEW = ("va", "car", "ai", "it", "hc", "sg", "lyr", "am", "dhcm", "dlf", "ge")
 # Patterns in the order in which they are tried; (?i) where case doesn't count.
@@ -38,3 +54,15 @@ PHRASES = (
     r"(?:our\s+)?(?:(?:major|primary|principal|key|direct|significant)\s+)?competitors?(?:\s+in\s+[^.!?;,\n]{1,120})?\s+(?:are|were|remain|include)\s+([^.!?;,\n]{15,300})(?=[.!?;,\n]|$)",
     r"([^.!?;,\n]{15,300})\s+(?:are|were|remain)\s+(?:our\s+)?(?:(?:major|primary|principal|key|direct|significant)\s+)?competitors?\b(?=[.!?;,\n]|$)",
 )
+# Characters without width, which offsets skip; tickers; attribute labels by falling precedence; types of attributes.
+ZERO_WIDTH = "\u200b\u200c\u200d\u2060\u2061\u2062\u2063\ufeff\u00ad"
+TICKER = r"^[A-Z]{1,5}$|^[A-Z]{1,5}\.[A-Z]$"
+ATTRIBUTES = ("LOC", "PRODUCT")
+TYPE_OF_ATTRIBUTE = (("LOC", "REGION"), ("PRODUCT", "ComputingProduct"))
+# Columns of the cleaned prefilter table, and names under which counts and lists come in, first to last.
+CLEAN_COLUMNS = (
+    "window_id", "source_company", "source_cik", "submitter_cik", "filing_year", "section", "cue_phrase", "cue_group", "trigger_sentence", "window_text", "org_mentions_union_count", "org_mentions_union",
+    "mention_types_union_filtered", "org_mentions_union_filtered", "org_mentions_removed_count", "org_mentions_removed_count_by_type",
+)
+UNION_COUNT_NAMES = ("org_mentions_union_count", "org_mention_count_union", "org_mentions_count", "org_mentions_raw_count")
+UNION_NAMES = ("org_mentions_union", "org_mentions_union_raw")
