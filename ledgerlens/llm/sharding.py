@@ -4,7 +4,7 @@ The tree is built level by level over all its nodes at once: per node the widest
 rows) is split at the weighted median, found by distributed histograms that narrow until the cut is within TOLERANCE of the
 wanted weight. Leaves are split until they reach the target bytes. Only histograms reach the driver, BINS numbers for a node at
 most, of MAX_LEAVES nodes at most: a tree of more leaves is split to parts of MAX_LEAVES leaves first, and each part, staged in a
-folder of its own, grows its own tree. A row finds its leaf level by level, by looking its node up in arrays.
+folder of its own, grows its own tree. Rows go down a level at a time, by looking their node up in arrays, and are staged there.
 
 All dimensions describe the text (length, share of non-ASCII, share of blanks), with a hash of it to break ties, so equal
 texts share a leaf. Texts whose copies together outweigh an eighth of a leaf's target (so at most eight per leaf) are hot:
@@ -45,25 +45,18 @@ def _look(values: list[int], at: Column) -> Column:
     return F.get(F.lit(values).cast("array<long>"), at)
 
 
-def _routed(rows: DataFrame, root: Node, name: str) -> DataFrame:
-    """rows (c0, c1, ...) with the place of their leaf, from left to right: one look-up in arrays a level."""
-    rows, level = rows.withColumn(name, F.lit(0)), [root]
-    while any(n.left for n in level):
-        after: list[Node] = []
-        places = []
-        for n in level:
-            places.append((len(after), len(after) + (n.left is not None)))
-            after += [n] if n.left is None else [n.left, n.right]
-        at = F.col(name)
-        cut = _look([n.cut for n in level], at)
-        own = F.get(F.array(*[F.col(f"c{k}") for k in range(len(DIMENSIONS))]), _look([max(n.dim, 0) for n in level], at).cast("int"))
-        rows = rows.withColumn(name, F.when(own < cut, _look([a for a, _ in places], at)).otherwise(_look([b for _, b in places], at)).cast("int"))
-        level = after
-    return rows
-
-
-def _in_order(node: Node) -> list[Node]:
-    return [node] if node.left is None else _in_order(node.left) + _in_order(node.right)
+def _step(rows: DataFrame, level: list[Node]) -> tuple[DataFrame, list[Node]]:
+    """rows with the place of their node, from left to right, after one more level, staged; and that level."""
+    after: list[Node] = []
+    places = []
+    for n in level:
+        places.append((len(after), len(after) + (n.left is not None)))
+        after += [n] if n.left is None else [n.left, n.right]
+    at = F.col("node")
+    own = F.get(F.array(*[F.col(f"c{k}") for k in range(len(DIMENSIONS))]), _look([max(n.dim, 0) for n in level], at).cast("int"))
+    right = own >= _look([n.cut for n in level], at)
+    place = _look([p for pair in places for p in pair], 2 * at + F.when(right, 1).otherwise(0))
+    return staged(rows.withColumn("node", place.cast("int")), "level"), after
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,14 +89,12 @@ def _coordinates(rows: DataFrame, target: float) -> DataFrame:
     return rows.select("id", "size", "crc", "h", *columns)
 
 
-def _split(rows: DataFrame, root: Node, most: int) -> list[Node]:
-    """Split each leaf of the tree that has over `most` leaves to come; returns the nodes split. rows: size, c0, c1, ..."""
+def _split(rows: DataFrame, leaves: list[Node], most: int) -> bool:
+    """Split each of the leaves that has over `most` leaves to come; whether there was one. rows: size, c0, c1, ..., node."""
     coordinates = [F.col(f"c{k}") for k in range(len(DIMENSIONS))]
-    leaves = _in_order(root)
     open_nodes = {k: n for k, n in enumerate(leaves) if n.leaves > most}
     if not open_nodes:
-        return []
-    rows = _routed(rows, root, "node")
+        return False
     if len(open_nodes) < len(leaves):
         rows = rows.filter(_look([k in open_nodes for k in range(len(leaves))], F.col("node")) == 1)
     stats = {r["node"]: r for r in rows.groupBy("node").agg(F.sum("size").alias("w"), *[f(c).alias(f"{f.__name__}{k}") for k, c in enumerate(coordinates) for f in (F.min, F.max)]).collect()}
@@ -140,25 +131,25 @@ def _split(rows: DataFrame, root: Node, most: int) -> list[Node]:
                 del search[k]
             else:
                 search[k] = [wanted, below, start, end, slack]
-    return list(open_nodes.values())
+    return True
 
 
-def _grown(rows: DataFrame, leaves: int, most: int = 1) -> Node:
-    root = Node(leaves)
-    while _split(rows, root, most):
-        pass
-    return root
+def _grown(rows: DataFrame, leaves: int, most: int = 1) -> tuple[DataFrame, list[Node]]:
+    """rows with node, the place of their leaf, and the leaves."""
+    rows, level = rows.withColumn("node", F.lit(0)), [Node(leaves)]
+    while _split(rows, level, most):
+        rows, level = _step(rows, level)
+    return rows, level
 
 
 def _placed(rows: DataFrame, shards: int) -> DataFrame:
     """rows (size, c0, c1, ...) with shard, 0 to shards - 1."""
     if shards <= MAX_LEAVES:
-        return _routed(rows, _grown(rows, shards), "shard")
+        return _grown(rows, shards)[0].withColumnRenamed("node", "shard")
     spark = rows.sparkSession
-    root = _grown(rows, shards, max(MAX_LEAVES, -(-shards // MAX_LEAVES)))
-    parts = _in_order(root)
+    dealt, parts = _grown(rows, shards, max(MAX_LEAVES, -(-shards // MAX_LEAVES)))
     path = fresh_path(spark, "parts")
-    _routed(rows, root, "part").write.partitionBy("part").parquet(path)
+    dealt.withColumnRenamed("node", "part").write.partitionBy("part").parquet(path)
     out, first = fresh_path(spark, "shards"), 0
     schema = rows.withColumn("shard", F.lit(0)).schema
     for k, part in enumerate(parts):
