@@ -231,9 +231,10 @@ ORACLES["q_first_present"] = f"{_F} SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN
 ORACLES["q_node_cik"] = f"{_F} SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id + 5000 AS VARCHAR) ELSE cik END AS cik, doc_id % 3 = 0 AS from_raw FROM filings"
 ORACLES["q_unique_ciks"] = f"{_M}, {_NODES} SELECT count(DISTINCT cik) AS n FROM nodes"
 ORACLES["q_ticker_scores"] = "SELECT s_suppkey AS row_id, CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'EQ' || CAST(s_suppkey AS VARCHAR) END AS ticker FROM supplier"
-ORACLES["q_removed_by_type"] = f"""WITH {_LABELED}, counted AS (SELECT s.row_id, s.names, s.types, (SELECT count(*) FROM labeled l WHERE l.row_id = s.row_id AND l.label = 'keep') AS kept FROM lists s)
- SELECT CAST(row_id AS VARCHAR) AS window_id, array_to_string(names, ' ; ') AS org_mentions_union, CAST(len(names) AS VARCHAR) AS org_mentions_union_count, CAST(len(names) - kept AS VARCHAR) AS org_mentions_removed_count,
-  CASE WHEN len(types) = 3 THEN 'COMPANY:1 ; REGION:1' ELSE 'COMPANY:1' END AS org_mentions_removed_count_by_type, '' AS cue_phrase FROM counted"""
+ORACLES["q_removed_by_type"] = f"""WITH {_LABELED}, given AS (SELECT s_suppkey AS row_id, array_to_string([s_name || ['', ', Inc.', ' Trust', ' Act', ' Corp'][1 + s_suppkey % 5], {_JUNK}[1 + s_suppkey % 17], {_JUNK}[1 + (s_suppkey * 7 + 3) % 17], 'Globex Corporation'], ' ; ') AS listed FROM supplier),
+ counted AS (SELECT s.row_id, s.names, s.types, (SELECT count(*) FROM labeled l WHERE l.row_id = s.row_id AND l.label = 'keep') AS kept FROM lists s)
+ SELECT CAST(row_id AS VARCHAR) AS window_id, listed AS org_mentions_union, CAST(len(names) AS VARCHAR) AS org_mentions_union_count, CAST(len(names) - kept AS VARCHAR) AS org_mentions_removed_count,
+  CASE WHEN len(types) = 3 THEN 'COMPANY:1 ; REGION:1' ELSE 'COMPANY:1' END AS org_mentions_removed_count_by_type, '' AS cue_phrase FROM counted JOIN given USING (row_id)"""
 ORACLES["q_union_count"] = f"WITH {_LABELED} SELECT row_id, CASE WHEN row_id % 2 = 0 THEN CAST('1' || CAST(row_id AS VARCHAR) AS BIGINT) ELSE len(names) END AS n FROM lists"
 ORACLES["q_resume"] = f"{_F} SELECT doc_id AS row_index, CASE WHEN doc_id % 3 = 0 THEN 'COMPANY' END AS llm_label FROM filings"
 ORACLES["q_label_driver"] = f"{_F} SELECT doc_id AS row_index, CASE WHEN company LIKE '%Trust%' THEN 'Non coporate AGENCY' ELSE 'COMPANY' END AS llm_label, company AS llm_owner_company_candidate FROM filings"
