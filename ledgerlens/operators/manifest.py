@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.patterns import ANY_CASE, LINES, any_of, blank_to_null, matches, title_case
+from ..functions.rows import exploded
 from ..rules import filings as R
 
 
@@ -126,7 +127,7 @@ def excluded_rows(df: DataFrame, names: DataFrame, name: str = "name", columns:
     parts = F.concat(cells, F.flatten(F.transform(cells, lambda c: F.split(c, ";"))), F.flatten(F.transform(cells, lambda c: F.split(c, ","))))
     keyed = df.withColumn("__row", F.monotonically_increasing_id())
     keys = names.select(exclusion_key(F.col(name)).alias("__key")).filter("__key <> ''").distinct()
-    hit = keyed.select("__row", F.explode(F.array_distinct(F.transform(parts, exclusion_key))).alias("__key")).join(keys, "__key", "left_semi").select("__row").distinct().withColumn("__hit", F.lit(True))
+    hit = exploded(keyed, ["__row"], F.array_distinct(F.transform(parts, exclusion_key)), "__key").join(keys, "__key", "left_semi").select("__row").distinct().withColumn("__hit", F.lit(True))
     return keyed.join(hit, "__row", "left").withColumn("excluded", F.coalesce("__hit", F.lit(False))).drop("__row", "__hit")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.patterns import ANY_CASE
+from ..functions.rows import exploded
 from ..rules import mentions as R
 
 PATTERNS = (("pattern_a", r"\b(?:Supplier|Customer)#\d+"), ("pattern_b", r"\b(?:Customer#\d+(?:, Inc\.)?|Europe|U\.S\.)"))
@@ -12,7 +13,7 @@ PATTERNS = (("pattern_a", r"\b(?:Supplier|Customer)#\d+"), ("pattern_b", r"\b(?:
 
 def extract_spans(windows: DataFrame, patterns: tuple[tuple[str, str], ...] = PATTERNS, id_col: str = "window_id", text_col: str = "window_text") -> DataFrame:
     """Stand-in for the neural extractors: all matches of each pattern with their character offsets. Other extractors give the same columns."""
-    return windows.select(id_col, F.inline(F.concat(*[_matches(F.col(text_col), name, pattern) for name, pattern in patterns])))
+    return exploded(windows, [id_col], F.concat(*[_matches(F.col(text_col), name, pattern) for name, pattern in patterns]), "__x").select(id_col, "__x.*")
 
 
 def _matches(text: Column, name: str, pattern: str) -> Column:
@@ -70,12 +71,12 @@ def competitor_phrases(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Phrases of at least 15 characters by four patterns, each once per text whatever its case; the first spelling stays."""
     found = F.concat(*[F.transform(F.regexp_extract_all(F.col(text_col), F.lit(ANY_CASE + p), 1), lambda x: F.trim(x)) for p in R.PHRASES])
     unique = F.aggregate(F.filter(found, lambda x: F.length(x) >= 15), F.array().cast("array<string>"), lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x))))
-    return df.select(id_col, F.explode(unique).alias("phrase"))
+    return exploded(df, [id_col], unique, "phrase")
 
 
 def filtered_out(rows: DataFrame, union: Column, kept: Column) -> DataFrame:
     """Multiset difference of two list columns over all rows: mention, removed."""
-    count = lambda c, n: rows.select(F.explode(c).alias("mention")).groupBy("mention").agg(F.count("*").alias(n))
+    count = lambda c, n: exploded(rows, [], c, "mention").groupBy("mention").agg(F.count("*").alias(n))
     both = count(union, "a").join(count(kept, "b"), "mention", "left")
     return both.select("mention", (F.col("a") - F.coalesce("b", F.lit(0))).alias("removed")).filter("removed > 0")
 

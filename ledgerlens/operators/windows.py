@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.patterns import ANY_CASE, any_of, matches
+from ..functions.rows import exploded
 from ..rules import cues as R
 from .sentences import sentences, with_cues, with_headings
 
@@ -94,7 +95,7 @@ def drop_near_duplicates(windows: DataFrame, threshold: float = R.NEAR_DUPLICATE
         marked = F.transform(kept, lambda k, i: F.when(i + 1 == first, k.withField("dup", F.lit(True))).otherwise(k))
         return F.when(first > 0, marked).otherwise(F.concat(kept, F.array(w)))
 
-    return groups.select(F.explode(F.aggregate("ws", F.slice("ws", 1, 0), fold)).alias("w")).select("w.row.*", F.col("w.dup").alias("is_deduplicated"))
+    return exploded(groups, [], F.aggregate("ws", F.slice("ws", 1, 0), fold), "w").select("w.row.*", F.col("w.dup").alias("is_deduplicated"))
 
 
 def export_order() -> list[Column]:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from .functions.rows import exploded
 from .operators import audit, cleaning, explicit, labeling, manifest, mentions, offsets, policy, providers, windows
 from .operators.sentences import sentences, with_cues, with_headings
 from .plans.filings import filings
@@ -227,7 +228,7 @@ def _mention_rows(spark, sf):
 
 @query
 def q_label_mentions(spark, sf):
-    rows = _mention_rows(spark, sf).select("row_id", "source_company", F.posexplode(policy.split_list(F.col("org_mentions"))).alias("pos", "mention"))
+    rows = _mention_rows(spark, sf).select("row_id", "source_company", F.posexplode_outer(policy.split_list(F.col("org_mentions"))).alias("pos", "mention")).filter("pos is not null")
     return rows.withColumn("l", policy.label(F.col("mention"), F.col("source_company"))).select("row_id", "pos", "mention", "l.label", "l.reason")
 
 
@@ -282,7 +283,7 @@ def q_dotcom_merge(spark, sf):
     p = spark.read.parquet(f"{sf}/part.parquet")
     n = F.length("p_brand")
     spans = F.array(F.struct(F.concat("p_brand", F.lit(".")).alias("text"), F.lit(0).alias("start"), (n + 1).alias("end")), F.struct(F.when(F.col("p_partkey") % 2 == 0, "com").otherwise("Corp").alias("text"), (n + 1).alias("start"), (n + 5).alias("end")))
-    return p.select("p_partkey", F.explode(policy.merge_dot_coms(spans)).alias("s")).select("p_partkey", "s.text", "s.start", "s.end")
+    return exploded(p, ["p_partkey"], policy.merge_dot_coms(spans), "s").select("p_partkey", "s.text", "s.start", "s.end")
 
 
 @query
@@ -299,7 +300,7 @@ def q_html_text(spark, sf):
 @query
 def q_page_lines(spark, sf):
     p = spark.read.parquet(f"{sf}/pages.parquet")
-    lines = p.select("page_id", F.explode(F.split(cleaning.normalize_space(cleaning.html_to_text(F.col("html"))), "\n")).alias("line"))
+    lines = exploded(p, ["page_id"], F.split(cleaning.normalize_space(cleaning.html_to_text(F.col("html"))), "\n"), "line")
     return lines.withColumn("junk", cleaning.is_junk_line(F.col("line"))).groupBy("page_id").agg(F.count("*").alias("n_lines"), F.count_if("junk").alias("junk_lines"))
 
 
@@ -502,7 +503,7 @@ def q_pipeline_role(spark, sf):
 @query
 def q_parse_labels(spark, sf):
     rows = spark.read.parquet(f"{sf}/part.parquet").select("p_partkey", F.concat(F.lit('```json\n{"labels":[{"row_index":'), F.col("p_partkey").cast("string"), F.lit(',"llm_label":"'), F.when(F.col("p_partkey") % 2 == 0, "COMPANY").otherwise("Odd"), F.lit('","llm_owner_company_candidate":"A"}]}\n```')).alias("raw"))
-    return rows.select("p_partkey", F.explode(mentions.parse_labels(F.col("raw"))).alias("l")).select("p_partkey", F.col("l.row_index").cast("bigint").alias("row_index"), "l.llm_label")
+    return exploded(rows, ["p_partkey"], mentions.parse_labels(F.col("raw")), "l").select("p_partkey", F.col("l.row_index").cast("bigint").alias("row_index"), "l.llm_label")
 
 
 @query

@@ -192,3 +192,18 @@ def test_streaming(spark, tmp_path):
     q = windows_of_arrivals(spark, str(tmp_path / "in"), "doc_id long, text string", str(tmp_path / "out"), str(tmp_path / "state"))
     q.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_texts_are_split_once(spark, sf_dir):
+    from ledgerlens.operators.sentences import sentences
+    from ledgerlens.plans.filings import filings
+
+    plan = sentences(filings(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_exploded_keeps_null_elements_and_drops_empty_arrays(spark):
+    from ledgerlens.functions.rows import exploded
+
+    rows = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "id int, xs array<string>")
+    assert [tuple(r) for r in exploded(rows, ["id"], F.col("xs"), "x").collect()] == [(1, "a"), (1, None)]
