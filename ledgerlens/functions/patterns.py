@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
 ANY_CASE, LINES = "(?iU)", "(?imdU)"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once: an expression that use names several times would be computed as often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def any_of(patterns: Sequence[str]) -> str:
     return "|".join(f"(?:{p})" for p in patterns)
 

@@ -11,7 +11,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.patterns import LINES, matches
+from ..functions.patterns import LINES, bound, matches
 from ..rules import filings as R
 
 
@@ -22,11 +22,11 @@ def longest(texts: Column) -> Column:
 
 def primary_document(raw: Column) -> Column:
     """The longest annual report of a wrapped filing, else its longest document, else all; of that the text block."""
-    docs = F.regexp_extract_all(raw, F.lit(r"(?is)<DOCUMENT>(.*?)</DOCUMENT>"), 1)
     kind = lambda d: F.upper(F.trim(F.regexp_extract(d, r"(?i)<TYPE>\s*([^\n\r<]+)", 1)))
-    main = F.filter(docs, lambda d: kind(d).startswith("10-K") | kind(d).isin(*R.PRIMARY_TYPES))
-    doc = F.coalesce(longest(main), longest(docs), raw)
-    return F.coalesce(F.nullif(F.regexp_extract(doc, r"(?is)<TEXT>(.*?)</TEXT>", 1), F.lit("")), doc)
+    is_main = lambda d: bound(kind(d), lambda k: k.startswith("10-K") | k.isin(*R.PRIMARY_TYPES))
+    block = lambda d: F.coalesce(bound(F.regexp_extract(d, r"(?is)<TEXT>(.*?)</TEXT>", 1), lambda t: F.nullif(t, F.lit(""))), d)
+    docs = F.regexp_extract_all(raw, F.lit(r"(?is)<DOCUMENT>(.*?)</DOCUMENT>"), 1)
+    return bound(bound(docs, lambda ds: F.coalesce(longest(F.filter(ds, is_main)), longest(ds), raw)), block)
 
 
 def strip_blocks(raw: Column) -> Column:
@@ -148,9 +148,9 @@ def page_text(raw: pd.Series) -> pd.Series:
 
 def is_junk_line(line: Column) -> Column:
     line = F.trim(line)
-    tokens = F.filter(F.split(line, r"\s+"), lambda t: t != "")
-    odd = F.filter(tokens, lambda t: t.rlike(R.ODD_TOKENS[0]) | t.rlike(R.ODD_TOKENS[1]) | t.rlike(R.ODD_TOKENS[2]))
-    return matches(line, R.JUNK_LINES) | line.rlike(R.PAGE_NUMBER) | ((F.size(tokens) >= 6) & (F.size(odd) / F.greatest(F.size(tokens), F.lit(1)) >= 0.55))
+    odd = lambda t: t.rlike(R.ODD_TOKENS[0]) | t.rlike(R.ODD_TOKENS[1]) | t.rlike(R.ODD_TOKENS[2])
+    mostly_odd = lambda tokens: (F.size(tokens) >= 6) & (F.size(F.filter(tokens, odd)) / F.greatest(F.size(tokens), F.lit(1)) >= 0.55)
+    return matches(line, R.JUNK_LINES) | line.rlike(R.PAGE_NUMBER) | bound(F.filter(F.split(line, r"\s+"), lambda t: t != ""), mostly_odd)
 
 
 def rebuild_paragraphs(text: Column) -> Column:
@@ -164,8 +164,9 @@ def rebuild_paragraphs(text: Column) -> Column:
 
 def trim_preamble(text: Column) -> Column:
     """From the earliest of the first matches that begin after 1000 characters, if there is one."""
-    starts = [F.when(F.regexp_instr(text, F.lit("(?is)" + p)) > 1001, F.regexp_instr(text, F.lit("(?is)" + p))) for p in R.PREAMBLE]
-    return F.coalesce(F.substr(text, F.least(*starts)), text)
+    late = lambda at: F.when(at > 1001, at)
+    start = lambda t: F.least(*[bound(F.regexp_instr(t, F.lit("(?is)" + p)), late) for p in R.PREAMBLE])
+    return bound(text, lambda t: F.coalesce(F.substr(t, start(t)), t))
 
 
 def clean_filing(raw: Column) -> Column:

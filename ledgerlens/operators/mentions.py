@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.patterns import ANY_CASE
+from ..functions.patterns import ANY_CASE, bound
 from ..functions.rows import exploded
 from ..rules import mentions as R
 
@@ -68,8 +68,13 @@ def mention_surplus(merged: DataFrame, id_col: str = "window_id") -> DataFrame:
 
 
 def competitor_phrases(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Phrases of at least 15 characters by four patterns, each once per text whatever its case; the first spelling stays."""
-    found = F.concat(*[F.transform(F.regexp_extract_all(F.col(text_col), F.lit(ANY_CASE + p), 1), lambda x: F.trim(x)) for p in R.PHRASES])
+    """Phrases of at least 15 characters by four patterns, each once per text whatever its case; the first spelling stays.
+
+    No match goes beyond a mark of R.PHRASE_ENDS, so patterns that need a word of competition, one of them slow, see only the clauses with one.
+    """
+    phrases = lambda t, patterns: F.concat(*[F.transform(F.regexp_extract_all(t, F.lit(ANY_CASE + p), 1), lambda x: F.trim(x)) for p in patterns])
+    clauses = F.filter(F.split(F.col(text_col), f"(?<={R.PHRASE_ENDS})"), lambda s: s.rlike(ANY_CASE + R.PHRASE_STEM))
+    found = F.concat(phrases(F.col(text_col), R.PHRASES[:1]), bound(F.array_join(clauses, ""), lambda t: phrases(t, R.PHRASES[1:])))
     unique = F.aggregate(F.filter(found, lambda x: F.length(x) >= 15), F.array().cast("array<string>"), lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.concat(acc, F.array(x))))
     return exploded(df, [id_col], unique, "phrase")
 

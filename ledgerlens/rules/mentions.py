@@ -54,6 +54,8 @@ PHRASES = (
     r"(?:our\s+)?(?:(?:major|primary|principal|key|direct|significant)\s+)?competitors?(?:\s+in\s+[^.!?;,\n]{1,120})?\s+(?:are|were|remain|include)\s+([^.!?;,\n]{15,300})(?=[.!?;,\n]|$)",
     r"([^.!?;,\n]{15,300})\s+(?:are|were|remain)\s+(?:our\s+)?(?:(?:major|primary|principal|key|direct|significant)\s+)?competitors?\b(?=[.!?;,\n]|$)",
 )
+#: What every pattern of PHRASES but the first needs, and marks that no match of any of them holds.
+PHRASE_STEM, PHRASE_ENDS = "compet", "[.!?;,]"
 # Characters without width, which offsets skip; tickers; attribute labels by falling precedence; types of attributes.
 ZERO_WIDTH = "\u200b\u200c\u200d\u2060\u2061\u2062\u2063\ufeff\u00ad"
 TICKER = r"^[A-Z]{1,5}$|^[A-Z]{1,5}\.[A-Z]$"

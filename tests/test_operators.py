@@ -152,6 +152,19 @@ def test_mentions(spark):
     assert [r.phrase for r in phrases] == ["large regional retailers"]
 
 
+def test_phrases_by_clause_are_those_of_the_whole_text(spark):
+    odd = [
+        "Large regional retailers are our\ncompetitors. x", "Large regional retailers are competitors\r. x", "Large regional retailers are competitors", "Large regional retailers remain competitors\n",
+        "a; Key COMPETITORS in some of the fields were many small regional stores! We compete with the many online stores, and more", "Vendors such as the many online stores; none", "", "...", None,
+        "We compete\n with\nlarge regional retailers\nand others? Our competitors include large regional retailers",
+    ]
+    texts = spark.createDataFrame(list(enumerate(odd)), "doc_id int, text string")
+    whole = F.concat(*[F.regexp_extract_all("text", F.lit("(?iU)" + p), 1) for p in mentions.R.PHRASES])
+    want = {(r.doc_id, x.strip(" ").lower()) for r in texts.select("doc_id", whole.alias("found")).collect() for x in r.found or () if len(x.strip(" ")) >= 15}
+    got = [(r.doc_id, r.phrase.lower()) for r in mentions.competitor_phrases(texts, "doc_id", "text").collect()]
+    assert sorted(got) == sorted(want) and len(want) >= 6
+
+
 def test_labels_and_votes(spark):
     assert one(spark, mentions.pipeline_role(F.col("l"), F.col("o")), l="PRODUCT_BRAND", o="") == "ignore_or_review"
     assert one(spark, mentions.parse_labels(F.col("t")), t="no json") is None

@@ -124,9 +124,10 @@ def test_audit_report(spark, sf_dir):
 
 
 def test_windows_are_made_once(spark, sf_dir):
-    """One scan of the documents, one evaluation of the cue patterns."""
+    """One scan of the documents, one split into sentences, one evaluation of the cue patterns; the other array is that of the folded windows."""
     plan = windows.drop_near_duplicates(queries._windows(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("pricing") <= 3 and plan.count("posexplode(") == 1
+    assert plan.count("pricing") <= 3 and plan.count("posexplode(all#") == 1 and plan.count("posexplode(") == 2
+    assert sum("Relation [doc_id#" in line for line in plan.splitlines()) == 1
 
 
 def test_trees_and_sinks(spark, tmp_path):
