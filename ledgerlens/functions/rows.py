@@ -12,3 +12,13 @@ def exploded(rows: DataFrame, keep: list[str], array: Column, name: str) -> Data
     more. That is worth it for a stored array, and not for one that is computed from a text.
     """
     return rows.select(*keep, F.posexplode_outer(array).alias("__pos", name)).filter("__pos is not null").drop("__pos")
+
+
+def in_small_batches(rows: DataFrame, records: int = 500, size: str = "2m") -> DataFrame:
+    """rows, after the session is told to hand texts to Python functions in Arrow batches of few rows and bytes.
+
+    A worker holds a batch and what it makes of it at once. Spark's bounds, 10,000 rows and 64 MB, are many times that for whole texts.
+    """
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return rows

@@ -5,15 +5,21 @@ A null text has no characters, a span outside its text maps to null; repeated ro
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions.patterns import bound
 from ..rules import mentions as R
 
 _GONE = frozenset(R.ZERO_WIDTH)
-_NORMALISED = T.StructType([T.StructField("clean", T.StringType()), T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("ends", T.ArrayType(T.IntegerType()))])
+_BREAKS = ("at", "starts", "widths")
+_NORMALISED = T.StructType([T.StructField("clean", T.StringType())] + [T.StructField(n, T.ArrayType(T.IntegerType())) for n in _BREAKS])
+#: Blanks and characters of no width, but for a space that stands alone, which stays where it is.
+_ODD = re.compile(rf"[\s{R.ZERO_WIDTH}]{{2,}}|[^\S ]|[{R.ZERO_WIDTH}]")
 
 
 def with_offsets(text: str | None) -> tuple[str, list[int], list[int]]:
@@ -32,16 +38,44 @@ def with_offsets(text: str | None) -> tuple[str, list[int], list[int]]:
     return "".join(out), starts, ends
 
 
+def with_breaks(text: str | None) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """The clean text of with_offsets, and its offsets as breaks: character at[k] of it begins at starts[k] and is widths[k] wide in the text,
+    those up to the next break follow one by one. Memory goes with the breaks, of which prose has few, not with the characters."""
+    text, pieces, breaks, n, done = text or "", [], [(0, 0, 1)], 0, 0
+    for m in _ODD.finditer(text):
+        (begin, end), run = m.span(), m.group()
+        pieces.append(text[done:begin])
+        n, done = n + begin - done, end
+        width, first = len(run.strip(R.ZERO_WIDTH)), end - len(run.lstrip(R.ZERO_WIDTH))
+        if width:
+            pieces.append(" ")
+            if first > begin or width > 1:
+                breaks.append((n, first, width))
+            n += 1
+        if not width or first + width < end:
+            breaks.append((n, end, 1))
+    pieces.append(text[done:])
+    return "".join(pieces), *np.array(breaks, dtype=np.int32).T
+
+
 @F.pandas_udf(_NORMALISED)
 def normalized_with_offsets(texts: pd.Series) -> pd.DataFrame:
-    """struct(clean, starts, ends) of each text: offsets need a walk over its characters."""
-    return pd.DataFrame([with_offsets(t) for t in texts], columns=["clean", "starts", "ends"])
+    """struct(clean, at, starts, widths) of each text, as with_breaks gives them."""
+    return pd.DataFrame([with_breaks(t) for t in texts], columns=["clean", *_BREAKS])
 
 
 def original_span(normalized: Column, start: Column, end: Column) -> Column:
     """struct(start, end) in the original of a span of the clean text; null if it is empty or reaches beyond it."""
-    valid = (start >= 0) & (end > start) & (end <= F.size(normalized["starts"]))
-    return F.when(valid, F.struct(F.get(normalized["starts"], start).alias("start"), F.get(normalized["ends"], end - 1).alias("end")))
+    valid = (start >= 0) & (end > start) & (end <= F.length(normalized["clean"]))
+
+    def end_of(k: Column, i: Column) -> Column:
+        return F.get(normalized["starts"], k) + F.get(normalized["widths"], k) + i - F.get(normalized["at"], k)
+
+    def in_break(i: Column, use: Callable[[Column], Column]) -> Column:
+        return bound(F.size(F.filter(normalized["at"], lambda at: at <= i)) - 1, use)
+
+    begins = in_break(start, lambda k: F.when(F.get(normalized["at"], k) == start, F.get(normalized["starts"], k)).otherwise(end_of(k, start) - 1))
+    return F.when(valid, F.struct(begins.alias("start"), in_break(end - 1, lambda k: end_of(k, end - 1)).alias("end")))
 
 
 def sentence_of_span(text: Column, sentences: Column, start: Column, end: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .functions.rows import exploded
+from .functions.rows import exploded, in_small_batches
 from .operators import audit, cleaning, explicit, labeling, manifest, mentions, offsets, policy, providers, windows
 from .operators.sentences import sentences, with_cues, with_headings
 from .plans.filings import filings
@@ -429,7 +429,8 @@ def stub_labeler(request: str) -> str:
 
 @query
 def q_offsets(spark, sf):
-    rows = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null").select("doc_id", F.concat(F.lit("a\u200b \n\t"), "text").alias("text")).withColumn("n", offsets.normalized_with_offsets("text"))
+    texts = in_small_batches(spark.read.parquet(f"{sf}/documents.parquet")).filter("text is not null")
+    rows = texts.select("doc_id", F.concat(F.lit("a\u200b \n\t"), "text").alias("text")).withColumn("n", offsets.normalized_with_offsets("text"))
     span = offsets.original_span(F.col("n"), F.lit(1), F.lit(3))
     return rows.select("doc_id", F.length("n.clean").cast("bigint").alias("n_chars"), F.md5("n.clean").alias("digest"), span["start"].cast("bigint").alias("start"), span["end"].cast("bigint").alias("end"))
 

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +169,18 @@ def test_empty_tables_and_clashing_columns(spark):
     assert cleaning.route(one).count() == 2 and cleaning.route(docs).count() == 0
     assert mentions.merge_spans(mentions.extract_spans(spark.createDataFrame([("w", None)], "window_id string, window_text string"))).count() == 0
     assert manifest.node_cik(spark.createDataFrame([("a__b", None)], "stem string, submitter_cik string"), spark.createDataFrame([], "stem string, cik string, seen long")).first().cik is None
+
+
+def test_offsets_are_kept_as_breaks(spark):
+    """Memory goes with the places where offsets jump: prose has none, and a text of odd characters only has one for each."""
+    text = "plain words, " * 10_000
+    n = spark.createDataFrame([(text,)], "t string").select(offsets.normalized_with_offsets("t").alias("n")).select("n.*").first()
+    assert n.clean == text and sum(len(x) for x in n if isinstance(x, list)) == 3
+    pieces, rng = ("a", "é", "😀", " ", "\n", "\xa0", "\u200b", "\xad", "\u3000", "\x1c"), random.Random(3)
+    texts = [None, "", "\u200b"] + ["".join(rng.choices(pieces, k=rng.randrange(1, 12))) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").withColumn("n", offsets.normalized_with_offsets("t"))
+    ends = [offsets.original_span(F.col("n"), F.lit(a), F.lit(a + 2)).alias(f"s{a}") for a in range(12)]
+    for r in rows.select("k", "n.clean", *ends).collect():
+        clean, starts, stops = offsets.with_offsets(texts[r.k])
+        assert r.clean == clean, texts[r.k]
+        assert [tuple(x) if x else None for x in r[2:]] == [(starts[a], stops[a + 1]) if a + 2 <= len(clean) else None for a in range(12)], texts[r.k]
