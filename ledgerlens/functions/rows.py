@@ -14,6 +14,15 @@ def exploded(rows: DataFrame, keep: list[str], array: Column, name: str) -> Data
     return rows.select(*keep, F.posexplode_outer(array).alias("__pos", name)).filter("__pos is not null").drop("__pos")
 
 
+def with_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """rows with the column name of value, which is computed once a row even where a filter uses it as well as what follows.
+
+    A filter on a plain column is moved below the projection that makes it, and computes it again, by a second set of Python workers
+    if it is a Python function. Nothing is moved below an explode whose result it needs.
+    """
+    return rows.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def in_small_batches(rows: DataFrame, records: int = 500, size: str = "2m") -> DataFrame:
     """rows, after the session is told to hand texts to Python functions in Arrow batches of few rows and bytes.
 

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.patterns import LINES, bound, matches
+from ..functions.rows import in_small_batches, with_once
 from ..rules import filings as R
 
 
@@ -217,7 +218,7 @@ def sections(texts: pd.Series) -> pd.DataFrame:
 def route_features(filings: DataFrame, text: str = "text") -> DataFrame:
     """Adds what routes are decided by: has_business_header, has_competition_header, has_term and the struct sections."""
     t = F.col(text)
-    return filings.withColumns({"has_business_header": matches(t, R.BUSINESS_START, LINES), "has_competition_header": matches(t, R.COMPETITION_START, LINES), "has_term": t.rlike("(?iU)" + R.COMPETITION_TERM), "sections": sections(t)})
+    return with_once(in_small_batches(filings), "sections", sections(t)).withColumns({"has_business_header": matches(t, R.BUSINESS_START, LINES), "has_competition_header": matches(t, R.COMPETITION_START, LINES), "has_term": t.rlike("(?iU)" + R.COMPETITION_TERM)})
 
 
 def route(filings: DataFrame, mode: str = "canonical", text: str = "text") -> DataFrame:
@@ -249,7 +250,7 @@ def append_status(cleaned: DataFrame, business: DataFrame) -> DataFrame:
 
     A text without both sections, without a business file, or whose file has the mark already is skipped, for the first reason that holds.
     """
-    found = cleaned.withColumn("__s", sections("text"))
+    found = with_once(in_small_batches(cleaned), "__s", sections("text"))
     both = found["__s.business"].isNotNull() & found["__s.competition"].isNotNull()
     joined = found.select("stem", both.alias("__both")).join(business.select("stem", F.col("content").alias("__content")), "stem", "left")
     reason = F.when(~F.col("__both"), "missing_section").when(F.col("__content").isNull(), "no_business_file").when(F.contains("__content", F.lit(R.APPEND_MARK.strip())), "already_appended")

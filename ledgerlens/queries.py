@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .functions.rows import exploded, in_small_batches
+from .functions.rows import exploded, in_small_batches, with_once
 from .operators import audit, cleaning, explicit, labeling, manifest, mentions, offsets, policy, providers, windows
 from .operators.sentences import sentences, with_cues, with_headings
 from .plans.filings import filings
@@ -313,11 +313,11 @@ def q_clean_filing(spark, sf):
 
 @query
 def q_sections(spark, sf):
-    f = filings(spark, sf)
+    f = in_small_batches(filings(spark, sf))
     from .rules import filings as R
 
     s = cleaning.section(F.col("text"), R.BUSINESS_START, R.BUSINESS_LENGTH)
-    return f.select("doc_id", s.alias("section_text")).filter("section_text is not null").select("doc_id", F.length("section_text").cast("bigint").alias("n_chars"), F.md5("section_text").alias("digest"))
+    return with_once(f, "section_text", s).filter("section_text is not null").select("doc_id", F.length("section_text").cast("bigint").alias("n_chars"), F.md5("section_text").alias("digest"))
 
 
 @query

@@ -184,3 +184,14 @@ def test_offsets_are_kept_as_breaks(spark):
         clean, starts, stops = offsets.with_offsets(texts[r.k])
         assert r.clean == clean, texts[r.k]
         assert [tuple(x) if x else None for x in r[2:]] == [(starts[a], stops[a + 1]) if a + 2 <= len(clean) else None for a in range(12)], texts[r.k]
+
+
+def test_python_functions_run_once_and_on_small_batches(spark, sf_dir):
+    """A filter on a section made a second set of Python workers find it again; batches held 10,000 texts."""
+    for name, sets in (("q_sections", 1), ("q_isolated", 1), ("q_routes", 1), ("q_append_status", 1)):
+        for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+            spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+        plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == sets, name
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000, name
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "2m", name
