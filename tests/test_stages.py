@@ -188,7 +188,7 @@ def test_offsets_are_kept_as_breaks(spark):
 
 def test_python_functions_run_once_and_on_small_batches(spark, sf_dir):
     """A filter on a section made a second set of Python workers find it again; batches held 10,000 texts."""
-    for name, sets in (("q_sections", 1), ("q_isolated", 1), ("q_routes", 1), ("q_append_status", 1)):
+    for name, sets in (("q_sections", 1), ("q_isolated", 1), ("q_routes", 1), ("q_append_status", 1), ("q_clean_filing", 2)):
         for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
             spark.conf.unset(f"spark.sql.execution.arrow.{key}")
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
