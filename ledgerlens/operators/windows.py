@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.patterns import ANY_CASE, any_of, matches
+from ..functions.patterns import ANY_CASE, any_of, bound, matches
 from ..functions.rows import exploded
 from ..rules import cues as R
 from .sentences import sentences, with_cues, with_headings
@@ -72,30 +72,36 @@ def export_bucket(group: Column) -> Column:
 
 
 def bigrams(text: Column) -> Column:
-    return F.when(F.length(text) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substr(text, i, F.lit(2))))).otherwise(F.array().cast("array<string>"))
+    """The distinct pairs of neighbouring characters. They are cut from an array: each substring would walk over the text from its begin."""
+    pairs = lambda chars: F.transform(F.slice(chars, 2, F.size(chars)), lambda c, i: F.concat(F.get(chars, i), c))
+    return F.when(F.length(text) >= 2, F.array_distinct(bound(F.split(text, ""), pairs))).otherwise(F.array().cast("array<string>"))
 
 
 def overlap(a: Column, b: Column) -> Column:
     """Jaccard similarity of two sets of bigrams; two empty sets are alike."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, 1.0).otherwise(bound(F.size(F.array_intersect(a, b)), lambda shared: shared / (both - shared)))
 
 
-def drop_near_duplicates(windows: DataFrame, threshold: float = R.NEAR_DUPLICATE) -> DataFrame:
-    """Greedy within a document by falling priority and tier: a window that overlaps a kept one goes, the first such one is marked.
-
-    A document's windows are few and bounded by its sentences, so they meet in one array with their columns, and are made once.
-    """
+def folded(windows: DataFrame, threshold: float = R.NEAR_DUPLICATE) -> DataFrame:
+    """One row per document with windows: doc_id, how many it has (n), and those that drop_near_duplicates keeps (ws), as struct(row, dup, ...)."""
     key = F.struct((-F.col("window_priority")).alias("p"), (-F.col("cue_tier")).alias("t"), F.col("is_fallback").cast("int").alias("f"), F.col("trigger_idx").alias("i"), bigrams(F.col("window_text")).alias("bg"), F.lit(False).alias("dup"), F.struct(*windows.columns).alias("row"))
     groups = windows.groupBy("doc_id").agg(F.array_sort(F.collect_list(key)).alias("ws"))
 
     def fold(kept: Column, w: Column) -> Column:
         hit = F.transform(kept, lambda k: overlap(k["bg"], w["bg"]) >= threshold)
-        first = F.array_position(hit, True)
-        marked = F.transform(kept, lambda k, i: F.when(i + 1 == first, k.withField("dup", F.lit(True))).otherwise(k))
-        return F.when(first > 0, marked).otherwise(F.concat(kept, F.array(w)))
+        marked = lambda first: F.transform(kept, lambda k, i: F.when(i + 1 == first, k.withField("dup", F.lit(True))).otherwise(k))
+        return bound(F.array_position(hit, True), lambda first: F.when(first > 0, marked(first)).otherwise(F.concat(kept, F.array(w))))
+
+    return groups.select("doc_id", F.size("ws").alias("n"), F.aggregate("ws", F.slice("ws", 1, 0), fold).alias("ws"))
 
-    return exploded(groups, [], F.aggregate("ws", F.slice("ws", 1, 0), fold), "w").select("w.row.*", F.col("w.dup").alias("is_deduplicated"))
+
+def drop_near_duplicates(windows: DataFrame, threshold: float = R.NEAR_DUPLICATE) -> DataFrame:
+    """Greedy within a document by falling priority and tier: a window that overlaps a kept one goes, the first such one is marked.
+
+    A document's windows are few and bounded by its sentences, so they meet in one array with their columns, and are made once.
+    """
+    return exploded(folded(windows, threshold), [], F.col("ws"), "w").select("w.row.*", F.col("w.dup").alias("is_deduplicated"))
 
 
 def export_order() -> list[Column]:

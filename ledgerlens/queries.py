@@ -107,8 +107,8 @@ def q_audit_counts(spark, sf):
 
 @query
 def q_audit_summary(spark, sf):
-    w = _windows(spark, sf)
-    return audit.summary(w, filings(spark, sf), windows.drop_near_duplicates(w))
+    w = _windows(spark, sf).select("doc_id", "trigger_idx", "window_priority", "cue_tier", "is_fallback", "window_text")
+    return audit.summary_of_documents(windows.folded(w), filings(spark, sf))
 
 
 @query

@@ -195,3 +195,12 @@ def test_python_functions_run_once_and_on_small_batches(spark, sf_dir):
         assert plan.count("ArrowEvalPython") == sets, name
         assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000, name
         assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "2m", name
+
+
+def test_summary_makes_windows_once(spark, sf_dir):
+    """Windows were made three times; the row stays the same, for an empty table too."""
+    assert queries.q_audit_summary(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    for f in (filings(spark, sf_dir), filings(spark, sf_dir).filter("doc_id < 0"), filings(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n\n"), "text", F.lit("\n\n"), "text"))):
+        w = windows.candidate_windows(f)
+        row = audit.summary_of_documents(windows.folded(w), f).first()
+        assert row == audit.summary(w, f, windows.drop_near_duplicates(w)).first()
