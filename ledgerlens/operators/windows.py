@@ -83,6 +83,20 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(both == 0, 1.0).otherwise(bound(F.size(F.array_intersect(a, b)), lambda shared: shared / (both - shared)))
 
 
+def near_pairs(windows: DataFrame, gap: int = 5) -> DataFrame:
+    """doc_id, trigger_idx, hint, other_idx, other_hint and overlap of the windows of a document of which the other begins 0 to gap sentences
+    after the end of the first, whose trigger comes before its own.
+
+    The windows are made once and met in a frame: no trigger of such a pair is farther off than the gap and the reach of both.
+    """
+    ahead = Window.partitionBy("doc_id").orderBy("trigger_idx").rangeBetween(1, gap + 2 * R.REACH)
+    w = windows.select("doc_id", "trigger_idx", "start_idx", "end_idx", "hint", bigrams(F.col("window_text")).alias("bg"))
+    others = F.collect_list(F.struct(F.col("trigger_idx").alias("other_idx"), "start_idx", F.col("hint").alias("other_hint"), "bg")).over(ahead)
+    near = F.filter("others", lambda o: (o["start_idx"] - F.col("end_idx")).between(0, gap))
+    pairs = exploded(w.withColumn("others", others), ["doc_id", "trigger_idx", "hint", "bg"], near, "o")
+    return pairs.select("doc_id", "trigger_idx", "hint", "o.other_idx", "o.other_hint", F.round(overlap(F.col("bg"), F.col("o.bg")), 6).alias("overlap"))
+
+
 def folded(windows: DataFrame, threshold: float = R.NEAR_DUPLICATE) -> DataFrame:
     """One row per document with windows: doc_id, how many it has (n), and those that drop_near_duplicates keeps (ws), as struct(row, dup, ...)."""
     key = F.struct((-F.col("window_priority")).alias("p"), (-F.col("cue_tier")).alias("t"), F.col("is_fallback").cast("int").alias("f"), F.col("trigger_idx").alias("i"), bigrams(F.col("window_text")).alias("bg"), F.lit(False).alias("dup"), F.struct(*windows.columns).alias("row"))

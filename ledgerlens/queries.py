@@ -79,10 +79,7 @@ def q_fallback(spark, sf):
 
 @query
 def q_bigram_overlap_pairs(spark, sf):
-    w = _windows(spark, sf).select("doc_id", "trigger_idx", "start_idx", "end_idx", windows.bigrams(F.col("window_text")).alias("bg"))
-    b = w.select("doc_id", F.col("trigger_idx").alias("other_idx"), F.col("start_idx").alias("other_start"), F.col("bg").alias("other_bg"))
-    near = (F.col("other_idx") > F.col("trigger_idx")) & (F.col("other_start") - F.col("end_idx")).between(0, 5)
-    return w.join(b, "doc_id").filter(near).select("doc_id", "trigger_idx", "other_idx", F.round(windows.overlap(F.col("bg"), F.col("other_bg")), 6).alias("overlap"))
+    return windows.near_pairs(_windows(spark, sf)).select("doc_id", "trigger_idx", "other_idx", "overlap")
 
 
 @query

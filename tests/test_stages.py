@@ -204,3 +204,20 @@ def test_summary_makes_windows_once(spark, sf_dir):
         w = windows.candidate_windows(f)
         row = audit.summary_of_documents(windows.folded(w), f).first()
         assert row == audit.summary(w, f, windows.drop_near_duplicates(w)).first()
+
+
+def test_pairs_of_windows_make_windows_once(spark, sf_dir):
+    """Windows were made for either side of a join; the pairs are those of plain loops, on documents with many windows."""
+    for name in ("q_bigram_overlap_pairs",):
+        assert queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1, name
+    rng, lines = random.Random(5), ("We face competition from Acme.", "Our rivals are many.", "Barriers to entry are low.", "Nothing is said here.", "COMPETITION", "We compete with Bolt in Europe.", "The sea is wide.")
+    docs = spark.createDataFrame([(k, "\n\n".join(rng.choices(lines, k=40))) for k in range(20)], "doc_id long, text string")
+    w = windows.candidate_windows(docs).cache()
+    rows = w.collect()
+    sets = lambda t: {t[k : k + 2] for k in range(len(t) - 1)}
+    want = {(a.doc_id, a.trigger_idx, a.hint, b.trigger_idx, b.hint, round(len(sets(a.window_text) & sets(b.window_text)) / len(sets(a.window_text) | sets(b.window_text)), 6))
+            for a in rows for b in rows if a.doc_id == b.doc_id and b.trigger_idx > a.trigger_idx and 0 <= b.start_idx - a.end_idx <= 5}
+    got = windows.near_pairs(w).select("doc_id", "trigger_idx", "hint", "other_idx", "other_hint", "overlap").collect()
+    assert len(got) == len(want) > 500 and set(map(tuple, got)) == want
+    for text in ("", "a", "ab", "aaa", "a😀b\n\té😀", "日本語日本"):
+        assert set(spark.createDataFrame([(text,)], "t string").select(windows.bigrams(F.col("t"))).first()[0]) == sets(text), text
