@@ -116,10 +116,7 @@ def q_demotion_top(spark, sf):
 
 @query
 def q_dedup_candidates(spark, sf):
-    w = _windows(spark, sf).select("doc_id", "trigger_idx", "start_idx", "end_idx", "hint", windows.bigrams(F.col("window_text")).alias("bg"))
-    b = w.select("doc_id", F.col("trigger_idx").alias("other_idx"), F.col("start_idx").alias("other_start"), F.col("hint").alias("other_hint"), F.col("bg").alias("other_bg"))
-    near = (F.col("other_idx") > F.col("trigger_idx")) & (F.col("other_start") - F.col("end_idx")).between(0, 5)
-    pairs = w.join(b, "doc_id").filter(near).withColumn("overlap", F.round(windows.overlap(F.col("bg"), F.col("other_bg")), 6))
+    pairs = windows.near_pairs(_windows(spark, sf))
     return windows.duplicate_candidates(pairs).select("doc_id", "trigger_idx", "other_idx", "overlap", "hint", "other_hint")
 
 

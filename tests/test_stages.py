@@ -208,7 +208,7 @@ def test_summary_makes_windows_once(spark, sf_dir):
 
 def test_pairs_of_windows_make_windows_once(spark, sf_dir):
     """Windows were made for either side of a join; the pairs are those of plain loops, on documents with many windows."""
-    for name in ("q_bigram_overlap_pairs",):
+    for name in ("q_bigram_overlap_pairs", "q_dedup_candidates"):
         assert queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1, name
     rng, lines = random.Random(5), ("We face competition from Acme.", "Our rivals are many.", "Barriers to entry are low.", "Nothing is said here.", "COMPETITION", "We compete with Bolt in Europe.", "The sea is wide.")
     docs = spark.createDataFrame([(k, "\n\n".join(rng.choices(lines, k=40))) for k in range(20)], "doc_id long, text string")
