@@ -24,11 +24,15 @@ def matches(text: Column, patterns: Sequence[str], flags: str = ANY_CASE) -> Col
 
 def has_word(text: Column, words: Sequence[str]) -> Column:
     """Whether the lower-cased text holds one of the (lower-case) words."""
-    low, out = F.lower(text), None
-    for w in words:
-        hit = F.contains(low, F.lit(w))
-        out = hit if out is None else out | hit
-    return out
+
+    def any_word(low: Column) -> Column:
+        out = None
+        for w in words:
+            hit = F.contains(low, F.lit(w))
+            out = hit if out is None else out | hit
+        return out
+
+    return bound(F.lower(text), any_word)
 
 
 def first_match(text: Column, patterns: Sequence[str], flags: str = ANY_CASE) -> Column:

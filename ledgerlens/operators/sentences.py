@@ -7,20 +7,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.patterns import LINES, any_of, first_match, first_reason, has_word, matches
 from ..rules import cues as R
 
+#: Stands for a full stop that ends no sentence, in the SQL and so in texts that hold it.
 _MARK = "\x01"
+#: After the blank behind a full stop: this isn't the full stop of an abbreviation. The first one of e.g. has no blank behind it.
+_NO_ABBREVIATION = rf"(?<!(?i:\b(?:{'|'.join((*R.ABBREVIATIONS, *(rf'{a}\.{b}' for a, b in R.DOTTED_ABBREVIATIONS)))})\.)\s)"
 #: Unicode's white space.
 _BLANKS = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def sentence_array(text: Column) -> Column:
     """Sentences of a text in order: split after . ! ? before a capital or quote, after . ! ? at line ends, and at blank lines."""
-    t = F.regexp_replace(F.regexp_replace(text, r"[ \t]{2,}|\t", " "), r"\n{3,}", "\n\n")
-    # patterns begin with the rare character and look back from it: a word boundary tried at every place costs most of the time
-    for a, b in R.DOTTED_ABBREVIATIONS:
-        t = F.regexp_replace(t, rf"(?iU)\.(?<=\b{a}\.)({b})\.", f"{_MARK}$1{_MARK}")
-    t = F.regexp_replace(t, rf"(?iU)\.(?<=\b(?:{'|'.join(R.ABBREVIATIONS)})\.)", _MARK)
-    parts = F.split(t, r"(?U)\s(?<=[.!?]\s)\s*(?=[A-Z\"])|\n(?<=[.!?]\n)\n*|\n{2,}")
-    return F.filter(F.transform(parts, lambda s: F.btrim(F.translate(s, _MARK, "."), F.lit(_BLANKS))), lambda s: s != "")
+    t = F.when(F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t")), F.regexp_replace(text, r"[ \t]{2,}|\t", " ")).otherwise(text)
+    # one pattern, that begins with a blank and looks back from it: every pass over a text costs, and a word boundary tried at every place most
+    parts = F.split(t, rf"(?U)\s(?<=[.!?]\s){_NO_ABBREVIATION}\s*(?=[A-Z\"])|\n(?<=[.!?]\n){_NO_ABBREVIATION}\n*|\n{{2,}}")
+    return F.filter(F.transform(parts, lambda s: F.btrim(F.replace(s, F.lit(_MARK), F.lit(".")), F.lit(_BLANKS))), lambda s: s != "")
 
 
 def is_heading(s: Column) -> Column:
