@@ -64,7 +64,10 @@ def with_cues(rows: DataFrame) -> DataFrame:
 
 
 def with_headings(rows: DataFrame) -> DataFrame:
-    """Adds is_heading, is_competition (a competition heading pattern, heading line or not), nearest heading, block and the sentences around."""
+    """Adds is_heading, is_competition (a competition heading pattern, heading line or not), nearest heading, block and, to cues, the sentences around.
+
+    Few sentences are cues: to copy its neighbours to each made every later sort several times the size of the text.
+    """
     doc = Window.partitionBy("doc_id").orderBy("idx")
     back = doc.rowsBetween(-R.LOOKBACK, 0)
     s = F.col("sentence")
@@ -75,6 +78,6 @@ def with_headings(rows: DataFrame) -> DataFrame:
         near.alias("__near"),
         F.max("is_competition").over(back).alias("under_competition"),
         (F.coalesce(F.max("is_strict").over(doc.rowsBetween(-R.NEARBY, -1)), F.lit(False)) | F.coalesce(F.max("is_strict").over(doc.rowsBetween(1, R.NEARBY)), F.lit(False))).alias("strict_nearby"),
-        F.collect_list("sentence").over(doc.rowsBetween(-R.REACH, R.REACH)).alias("around"),
+        F.when(F.col("cue_group").isNotNull(), F.array_compact(F.array(*[F.lag("sentence", -k).over(doc) for k in range(-R.REACH, R.REACH + 1)]))).alias("around"),
         F.sum(F.col("is_heading").cast("int")).over(doc.rowsBetween(Window.unboundedPreceding, 0)).alias("block"),
     ).select("*", F.coalesce("__near.text", F.lit("")).alias("heading_text"), F.coalesce("__near.category", F.lit("no_heading")).alias("heading_category")).drop("__near")

@@ -32,7 +32,8 @@ def bounded(rows: DataFrame) -> DataFrame:
     reach = F.when(group == "strict_explicit", F.when(under, 1).otherwise(0)).when(group == "contextual_explicit", F.when(near, 2).otherwise(1)).otherwise(0)
     priority = F.when(group == "strict_explicit", F.when(under, 5).otherwise(4)).when(group == "contextual_explicit", F.when(near, 3).otherwise(2)).when(fallback, 0).otherwise(1)
     rows = rows.withColumn("start_idx", F.greatest(F.lit(0), F.col("idx") - reach)).withColumn("end_idx", F.least(F.col("n_sentences") - 1, F.col("idx") + reach))
-    rows = rows.withColumn("window_text", F.array_join(F.slice("around", F.col("start_idx") - F.greatest(F.lit(0), F.col("idx") - R.REACH) + 1, F.col("end_idx") - F.col("start_idx") + 1), " "))
+    span = F.slice("around", F.col("start_idx") - F.greatest(F.lit(0), F.col("idx") - R.REACH) + 1, F.col("end_idx") - F.col("start_idx") + 1)
+    rows = rows.withColumn("window_text", F.when(fallback, F.col("sentence")).otherwise(F.array_join(span, " ")))
     hint = F.when(fallback, "competition_market").otherwise(profile_hint(F.col("window_text"), F.col("heading_category"), group))
     return rows.select(
         "doc_id", F.col("idx").alias("trigger_idx"), "start_idx", "end_idx", "cue_group", "cue_tier", "cue_text", priority.alias("window_priority"), "heading_text", "heading_category",

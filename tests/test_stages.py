@@ -244,3 +244,11 @@ def test_sentences_are_split_in_one_pass(spark, sf_dir):
 
     for r in rows.select("t", S.sentence_array(F.col("t")).alias("now"), in_passes(F.col("t")).alias("then")).collect():
         assert r.now == r.then, r.t
+
+
+def test_only_cues_carry_the_sentences_around(spark, sf_dir):
+    """Every sentence carried five, and all of them were sorted again."""
+    rows = windows.annotated(filings(spark, sf_dir)).select("doc_id", "idx", "sentence", "cue_group", "around").collect()
+    said = {(r.doc_id, r.idx): r.sentence for r in rows}
+    for r in rows:
+        assert r.around == (None if r.cue_group is None else [said[r.doc_id, k] for k in range(r.idx - 2, r.idx + 3) if (r.doc_id, k) in said])
