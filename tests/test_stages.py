@@ -252,3 +252,8 @@ def test_only_cues_carry_the_sentences_around(spark, sf_dir):
     said = {(r.doc_id, r.idx): r.sentence for r in rows}
     for r in rows:
         assert r.around == (None if r.cue_group is None else [said[r.doc_id, k] for k in range(r.idx - 2, r.idx + 3) if (r.doc_id, k) in said])
+
+
+def test_mention_surplus_needs_no_python(spark, sf_dir):
+    plan = queries.q_org_diff(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "MapInArrow" not in plan
